@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silkmill.llm.batches import long_texts
-from silkmill.llm.mojibake import find_garbled, fit_restorer
+from silkmill.llm.lookalikes import Check, find_lookalikes
+from silkmill.llm.mojibake import Restorer, find_garbled, fit_restorer
+from silkmill.llm.splitting import read_limits, split_texts
 from silkmill.session import read_table
 
 
@@ -27,5 +29,48 @@ def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.groupBy("field", "row_id").agg(F.max("restored").alias("restored"), F.max("chains").alias("chains"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_restored": p1_restored}
-ORACLES: dict[str, str] = {}
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_texts(long_texts(spark, sf_dir, ("content", "page_content")), read_limits(read_table(spark, sf_dir, "split_limits")))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split(spark, sf_dir).where(F.size("pieces") > 1).select("field", "row_id").distinct()
+
+
+def p4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(field, row_id, piece_no, piece) of every oversized value, once."""
+    return _split(spark, sf_dir).dropDuplicates(["field", "row_id"]).select("field", "row_id", F.posexplode("pieces").alias("piece_no", "piece"))
+
+
+def _garbled_test(restorer: Restorer) -> Callable[[], Check]:
+    """A test of a value for wrong decoding, to be made on the executors from a broadcast of fixed size."""
+    shared = SparkSession.active().sparkContext.broadcast(restorer.state())
+
+    def make() -> Check:
+        own = Restorer.of(shared.value)
+        return lambda field, text: field in ("content", "page_content") and own.restore(text) is not None
+
+    return make
+
+
+def _one_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_lookalikes(long_texts(spark, sf_dir, ("content", "page_content", "question")), _garbled_test(_restorer(spark, sf_dir)))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _one_form(spark, sf_dir).select("field", "row_id").distinct()
+
+
+def p5_one_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(field, row_id, one_form) of every affected value, once."""
+    return _one_form(spark, sf_dir).groupBy("field", "row_id").agg(F.max("one_form").alias("one_form"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_restored, p4_found, p4_pieces, p5_found, p5_one_form)}
+ORACLES: dict[str, str] = {
+    "p4_found": """
+        SELECT DISTINCT field, row_id FROM (
+            SELECT 'content' AS field, para_id AS row_id, content AS text FROM titled_paragraphs
+            UNION ALL SELECT 'page_content', chunk_id, page_content FROM pdf_chunks) JOIN split_limits USING (field)
+        WHERE length(text) > max_chars""",
+}
