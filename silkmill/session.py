@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,3 +36,9 @@ def cut(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared checkpoint folder and returns it read back: lost executors cannot take it along."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, limit_bytes: int = 32 << 20) -> DataFrame:
+    """``df`` marked for a broadcast join if its estimated size is at most ``limit_bytes``; beyond, it is joined by a shuffle."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= limit_bytes else df
