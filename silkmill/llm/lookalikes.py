@@ -14,6 +14,7 @@ another alphabet are left as they are; repeated rows give repeated rows.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
@@ -82,6 +83,29 @@ def _sql() -> str:
         FROM flat"""
 
 
+_PLAIN: dict[int, str | None] = {}
+_MIXED = re.compile(r"[A-Za-zÀ-ɏͰ-ԯ԰-֏0-9]+")
+_JOINED_EMOJI = re.compile("(?<![\U0001f000-\U0001faff☀-➿️])\u200d|\u200d(?![\U0001f000-\U0001faff☀-➿])")
+
+
+def quick_form(text: str) -> str:
+    """The one form of a single text, for operators that read past such characters in passing."""
+    if not _PLAIN:
+        old, new = _one_to_one()
+        _PLAIN.update(zip(map(ord, old), new, strict=True))
+        _PLAIN.update({c: " " for c in (0xA0, 0x202F, 0x2007)} | {c: None for c in (0x200B, 0x200C, *range(0x2060, 0x2065), 0xFEFF, 0x180E)})
+        _PLAIN.update({c: unicodedata.normalize("NFKC", chr(c)) for c in (*range(0xFB00, 0xFB07), *range(0xFB13, 0xFB18))})
+    text = unicodedata.normalize("NFC", _JOINED_EMOJI.sub("", text).translate(_PLAIN))
+
+    def latin(m: re.Match) -> str:
+        word = m.group()
+        if not re.search("[A-Za-z]", word) or not re.search("[Ͱ-֏]", word):
+            return word
+        return "".join(LOOKALIKES.get(c, c) for c in word)
+
+    return _MIXED.sub(latin, text)
+
+
 Check = Callable[[str, str], bool]
 
 

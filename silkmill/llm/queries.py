@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from silkmill.llm.batches import long_texts
 from silkmill.llm.lookalikes import Check, find_lookalikes
 from silkmill.llm.mojibake import Restorer, find_garbled, fit_restorer
+from silkmill.llm.scanned import fit_lexicon, repair_scans, shared_titles
 from silkmill.llm.splitting import read_limits, split_texts
-from silkmill.session import read_table
+from silkmill.session import broadcast_if_small, read_table
 
 
 def _restorer(spark: SparkSession, sf_dir: str):
@@ -66,7 +67,31 @@ def p5_one_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _one_form(spark, sf_dir).groupBy("field", "row_id").agg(F.max("one_form").alias("one_form"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_restored, p4_found, p4_pieces, p5_found, p5_one_form)}
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(field, row_id, text, page, book) of both fields; the books' names are joined by broadcast while they are few."""
+    books = broadcast_if_small(read_table(spark, sf_dir, "books").select("book_id", F.col("book_name").alias("book")))
+    content = read_table(spark, sf_dir, "titled_paragraphs").select(F.lit("content").alias("field"), F.col("para_id").alias("row_id"), F.col("content").alias("text"), F.col("page_number").alias("page"), "book_id")
+    chunks = read_table(spark, sf_dir, "pdf_chunks").select(F.lit("page_content").alias("field"), F.col("chunk_id").alias("row_id"), F.col("page_content").alias("text"), F.col("metadata.page_number").alias("page"), "book_id")
+    return content.unionByName(chunks).where(F.length("text") > 0).join(books, "book_id", "left").select("field", "row_id", "text", "page", "book")
+
+
+def _repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lexicon = fit_lexicon(long_texts(spark, sf_dir, ("content", "page_content")))
+    titles = shared_titles(read_table(spark, sf_dir, "titled_paragraphs"), "first_title")
+    return repair_scans(_pages(spark, sf_dir), lexicon, titles, _garbled_test(_restorer(spark, sf_dir)))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _repaired(spark, sf_dir).select("field", "row_id").distinct()
+
+
+def p6_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(field, row_id, repaired, broken, furniture, misread) of every noisy value, once."""
+    found = _repaired(spark, sf_dir).groupBy("field", "row_id").agg(F.max(F.struct("repaired", "broken", "furniture", "misread")).alias("r"))
+    return found.select("field", "row_id", "r.*")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_restored, p4_found, p4_pieces, p5_found, p5_one_form, p6_found, p6_repaired)}
 ORACLES: dict[str, str] = {
     "p4_found": """
         SELECT DISTINCT field, row_id FROM (
