@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from silkmill.llm.batches import long_texts
 from silkmill.llm.lookalikes import Check, find_lookalikes
 from silkmill.llm.mojibake import Restorer, find_garbled, fit_restorer
+from silkmill.llm.near_copies import all_pairs, classes_with_links, near_copies
 from silkmill.llm.scanned import fit_lexicon, repair_scans, shared_titles
 from silkmill.llm.splitting import read_limits, split_texts
 from silkmill.session import broadcast_if_small, read_table
@@ -30,6 +31,22 @@ def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.groupBy("field", "row_id").agg(F.max("restored").alias("restored"), F.max("chains").alias("chains"))
 
 
+def _questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(field, id, text) of both fields of questions."""
+    own = read_table(spark, sf_dir, "all_function_res_qas").select(F.lit("question").alias("field"), F.col("example_id").alias("id"), F.col("question").alias("text"))
+    sets = read_table(spark, sf_dir, "qa_sets").select(F.explode(F.arrays_zip("q_ids", "q")).alias("z")).select(F.lit("q").alias("field"), F.col("z.q_ids").alias("id"), F.col("z.q").alias("text"))
+    return own.unionByName(sets).where(F.col("id").isNotNull() & F.col("text").isNotNull())
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return all_pairs(*near_copies(_questions(spark, sf_dir), ("question", "q"))).distinct()
+
+
+def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per question: its class of equal questions and the number of classes that are near-copies of it."""
+    return classes_with_links(*near_copies(_questions(spark, sf_dir), ("question", "q")))
+
+
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_texts(long_texts(spark, sf_dir, ("content", "page_content")), read_limits(read_table(spark, sf_dir, "split_limits")))
 
@@ -91,7 +108,7 @@ def p6_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("field", "row_id", "r.*")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_restored, p4_found, p4_pieces, p5_found, p5_one_form, p6_found, p6_repaired)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_classes, p4_found, p4_pieces, p5_found, p5_one_form, p6_found, p6_repaired)}
 ORACLES: dict[str, str] = {
     "p4_found": """
         SELECT DISTINCT field, row_id FROM (
