@@ -88,14 +88,19 @@ _MIXED = re.compile(r"[A-Za-zÀ-ɏͰ-ԯ԰-֏0-9]+")
 _JOINED_EMOJI = re.compile("(?<![\U0001f000-\U0001faff☀-➿️])\u200d|\u200d(?![\U0001f000-\U0001faff☀-➿])")
 
 
-def quick_form(text: str) -> str:
-    """The one form of a single text, for operators that read past such characters in passing."""
+def plain_forms() -> dict[int, str | None]:
+    """Code points of compatibility forms and invisible characters, and what stands for them in the one form."""
     if not _PLAIN:
         old, new = _one_to_one()
         _PLAIN.update(zip(map(ord, old), new, strict=True))
         _PLAIN.update({c: " " for c in (0xA0, 0x202F, 0x2007)} | {c: None for c in (0x200B, 0x200C, *range(0x2060, 0x2065), 0xFEFF, 0x180E)})
         _PLAIN.update({c: unicodedata.normalize("NFKC", chr(c)) for c in (*range(0xFB00, 0xFB07), *range(0xFB13, 0xFB18))})
-    text = unicodedata.normalize("NFC", _JOINED_EMOJI.sub("", text).translate(_PLAIN))
+    return _PLAIN
+
+
+def quick_form(text: str) -> str:
+    """The one form of a single text, for operators that read past such characters in passing."""
+    text = unicodedata.normalize("NFC", _JOINED_EMOJI.sub("", text).translate(plain_forms()))
 
     def latin(m: re.Match) -> str:
         word = m.group()

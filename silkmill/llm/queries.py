@@ -66,7 +66,7 @@ def _garbled_test(restorer: Restorer) -> Callable[[], Check]:
 
     def make() -> Check:
         own = Restorer.of(shared.value)
-        return lambda field, text: field in ("content", "page_content") and own.restore(text) is not None
+        return lambda field, text: field in ("content", "page_content") and own.suspect(text) and own.restore(text) is not None
 
     return make
 
