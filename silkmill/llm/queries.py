@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from silkmill.llm.batches import long_texts
 from silkmill.llm.lookalikes import Check, find_lookalikes
+from silkmill.llm.mixing import mix, share_report
 from silkmill.llm.mojibake import Restorer, find_garbled, fit_restorer
 from silkmill.llm.near_copies import all_pairs, classes_with_links, near_copies
+from silkmill.llm.packing import count_tokens, fill_report, pack_documents
 from silkmill.llm.scanned import fit_lexicon, repair_scans, shared_titles
 from silkmill.llm.splitting import read_limits, split_texts
-from silkmill.session import broadcast_if_small, read_table
+from silkmill.llm.subjects import assign_subjects, fit_subjects, with_labels
+from silkmill.session import broadcast_if_small, cut, read_table
 
 
 def _restorer(spark: SparkSession, sf_dir: str):
@@ -108,7 +111,54 @@ def p6_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("field", "row_id", "r.*")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_classes, p4_found, p4_pieces, p5_found, p5_one_form, p6_found, p6_repaired)}
+def _capacities(spark: SparkSession, sf_dir: str) -> dict[str, int]:
+    rows = read_table(spark, sf_dir, "pack_capacities").limit(1000).collect()
+    return {r["capacity_name"]: int(r["capacity_tokens"]) for r in rows if r["capacity_name"] is not None and (r["capacity_tokens"] or 0) > 0}
+
+
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return pack_documents(count_tokens(documents), _capacities(spark, sf_dir), documents.count())
+
+
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_report(p7_containers(spark, sf_dir), _capacities(spark, sf_dir))
+
+
+def _mixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    targets = read_table(spark, sf_dir, "mix_targets")
+    # counting tokens is the dear part, and it is needed for the quotas and again for the choice
+    counted = cut(count_tokens(read_table(spark, sf_dir, "documents").where(F.col("source").isNotNull()), keep=("source",)))
+    return mix(counted, targets), targets
+
+
+def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixture(spark, sf_dir)[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return share_report(*_mixture(spark, sf_dir))
+
+
+def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    codes = sorted(r[0] for r in read_table(spark, sf_dir, "subject_areas").select("subject_code").distinct().limit(1000).collect() if r[0])
+    model = fit_subjects(with_labels(documents, read_table(spark, sf_dir, "subject_labels")), codes)
+    return assign_subjects(documents, model)
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _subjects(spark, sf_dir).select("doc_id", "subject_code").distinct()
+
+
+def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus by subject: documents and the characters their shares amount to, on a row per subject."""
+    sized = read_table(spark, sf_dir, "documents").select("doc_id", F.length("text").alias("chars")).dropDuplicates(["doc_id"])
+    found = _subjects(spark, sf_dir).dropDuplicates(["doc_id", "subject_code"]).join(sized, "doc_id")
+    return found.groupBy("subject_code").agg(F.count("*").alias("documents"), F.round(F.sum(F.col("share") * F.col("chars"))).cast("long").alias("chars"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_classes, p4_found, p4_pieces, p5_found, p5_one_form, p6_found, p6_repaired, p7_containers, p7_fill, p8_mixture, p8_shares, p9_found, p9_composition)}
 ORACLES: dict[str, str] = {
     "p4_found": """
         SELECT DISTINCT field, row_id FROM (
