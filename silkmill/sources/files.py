@@ -22,14 +22,14 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
 
 def read_delimited(spark: SparkSession, path: str, separator: str = "。\n") -> DataFrame:
     """(file, pos, text): whole files parted at ``separator``, which is dropped; pos from 0."""
-    whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     quoted = "\\Q" + separator + "\\E"
     return whole.select("file", F.posexplode(F.split("value", quoted)).alias("pos", "text"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, line) of text files, line_no from 1; a file is numbered within one row, so keep files of moderate size."""
-    whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     return whole.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line")).withColumn("line_no", F.col("line_no") + 1)
 
 
