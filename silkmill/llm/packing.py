@@ -30,6 +30,8 @@ TOKENIZERS, VOCABULARY = "/opt/tokenizers", "byte_bpe_multi_50k.tiktoken"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Documents per shard on average, and the most that differencing takes at once.
 SHARD, BLOCK = 1024, 2048
+#: Tasks that shards are spread over, at most.
+TASKS = 10_000
 
 
 def tokenizer(folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> object:
@@ -150,7 +152,9 @@ def pack_documents(counted: DataFrame, capacities: dict[str, int], documents: in
     """
     shards = max(1, round(documents / SHARD))
     items = counted.where(F.col("tokens") > 0).dropDuplicates(["doc_id"]).withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
-    return items.select("shard", "doc_id", "tokens").groupBy("shard").applyInArrow(_packer(capacities), "capacity_name string, shard long, container_no int, doc_id long, token_start long, token_end long")
+    # shards are small but dear: their number of tasks is set here, as it would else follow their few bytes
+    spread = items.select("shard", "doc_id", "tokens").repartition(min(shards, TASKS), "shard")
+    return spread.groupBy("shard").applyInArrow(_packer(capacities), "capacity_name string, shard long, container_no int, doc_id long, token_start long, token_end long")
 
 
 def fill_report(packed: DataFrame, capacities: dict[str, int]) -> DataFrame:
