@@ -69,4 +69,4 @@ def split_texts(texts: DataFrame, limits: dict[str, tuple[int, int]], *, only_ov
 def read_limits(limits: DataFrame) -> dict[str, tuple[int, int]]:
     """field -> (max_chars, overlap_chars); one row per field, so it is small by construction."""
     rows = limits.select("field", "max_chars", "overlap_chars").distinct().limit(1000).collect()
-    return {r["field"]: (r["max_chars"], r["overlap_chars"]) for r in rows if r["field"] is not None}
+    return {r["field"]: (r["max_chars"], r["overlap_chars"]) for r in rows if None not in (r["field"], r["max_chars"], r["overlap_chars"])}

@@ -181,6 +181,9 @@ def fit_subjects(labelled: DataFrame, codes: list[str], rounds: tuple[int, ...]
     sample = cut(sample.repartition(PARTITIONS, "doc_id").select("text", "codes", "weights"))
     context = labelled.sparkSession.sparkContext
     losses: list[float] = []
+    table, bias = np.zeros((1 << FEATURE_BITS, len(codes)), np.float32), np.full(len(codes), -2.0, np.float32)
+    if not codes:
+        return SubjectModel(codes, table, bias, losses)
     shared = None
     for step, n in enumerate(rounds):
         slices = cut(sample.mapInArrow(_slicer(codes, shared), _SLICE))
@@ -252,6 +255,8 @@ def _scorer(shared: object, share: float) -> Callable[[Iterable[pa.RecordBatch]]
 
 def assign_subjects(documents: DataFrame, model: SubjectModel, share: float = 0.16) -> DataFrame:
     """(doc_id, subject_code, share) of (doc_id, text), scored whole; one narrow pass."""
+    if not model.codes:
+        return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit("").alias("subject_code"), F.lit(0.0).alias("share")).limit(0)
     shared = documents.sparkSession.sparkContext.broadcast((model.codes, model.table, model.bias))
     return documents.select("doc_id", "text").where(F.col("text").isNotNull()).mapInArrow(_scorer(shared, share), "doc_id long, subject_code string, share double")
 
