@@ -91,7 +91,7 @@ def mix(counted: DataFrame, targets: DataFrame, total_tokens: int | None = None,
     """(doc_id, source, tokens, copies) of the mixture's documents, from (doc_id, source, tokens)."""
     spark = counted.sparkSession
     wanted = {r["source"]: (float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in targets.limit(100_000).collect() if r["source"] is not None}
-    items = counted.where(F.col("source").isNotNull() & (F.col("tokens") > 0)).dropDuplicates(["doc_id"])
+    items = counted.select("doc_id", "source", "tokens").where(F.col("source").isNotNull() & (F.col("tokens") > 0)).dropDuplicates(["doc_id"])
     listed = spark.createDataFrame([(s,) for s in sorted(wanted)] or [("",)], "source string")
     items = items.join(broadcast_if_small(listed), "source", "left_semi")
     # the number of shards follows a source's tokens up to a fixed most

@@ -151,7 +151,7 @@ def pack_documents(counted: DataFrame, capacities: dict[str, int], documents: in
     ``documents``: about how many there are; shards go by a hash of the id, so none grows with the data.
     """
     shards = max(1, round(documents / SHARD))
-    items = counted.where(F.col("tokens") > 0).dropDuplicates(["doc_id"]).withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    items = counted.select("doc_id", "tokens").where(F.col("tokens") > 0).dropDuplicates(["doc_id"]).withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
     # shards are small but dear: their number of tasks is set here, as it would else follow their few bytes
     spread = items.select("shard", "doc_id", "tokens").repartition(min(shards, TASKS), "shard")
     return spread.groupBy("shard").applyInArrow(_packer(capacities), "capacity_name string, shard long, container_no int, doc_id long, token_start long, token_end long")
