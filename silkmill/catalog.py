@@ -15,7 +15,7 @@ from silkmill.functions import text as X
 from silkmill.operators import chunking, dialog, graph, layout, metrics, qa, sampling, sections, tool_calls, triage, vectors
 from silkmill.operators.tool_tables import call_table, child_items, function_table
 from silkmill.plans import pipelines
-from silkmill.plans.model import StubModel, ask, one_of, strict_bool, vote
+from silkmill.plans.model import StubModel, ask, embed, one_of, strict_bool, vote
 from silkmill.session import read_table
 from silkmill.streaming.accepted import windowed_counts
 
@@ -402,6 +402,14 @@ def greedy_pack(s: SparkSession, d: str) -> DataFrame:
     return chunking.next_fit(items, "shard", ["para_id"], "n", 2000)
 
 
+@query(
+    f"""SELECT book_id, CAST(chunk_no // 50 AS INT) AS part_no, string_agg(page_content, '¦' ORDER BY chunk_no, page_content) AS items FROM {CHUNKS} WHERE page_content IS NOT NULL GROUP BY book_id, chunk_no // 50"""
+)
+def chunk_lists(s: SparkSession, d: str) -> DataFrame:
+    kept = chunks(s, d).where(F.col("page_content").isNotNull())
+    return chunking.collect_parts(kept, "book_id", "chunk_no", "page_content", 50).select("book_id", "part_no", F.array_join("items", "¦").alias("items"))
+
+
 # ------------------------------------------------------------------------------------ questions and calls
 
 
@@ -664,7 +672,12 @@ def table_titles(s: SparkSession, d: str) -> DataFrame:
 @query("SELECT event_id, sqrt(pow(value - user_id, 2) + pow(event_id % 7 - 3, 2)) AS distance FROM events")
 def point_distance(s: SparkSession, d: str) -> DataFrame:
     e = read_table(s, d, "events")
-    return e.select("event_id", F.sqrt(F.pow(F.col("value") - F.col("user_id"), 2) + F.pow(F.col("event_id") % 7 - 3, 2)).alias("distance"))
+    return e.select("event_id", X.distance(F.col("value"), F.col("event_id") % 7, F.col("user_id"), F.lit(3)).alias("distance"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size * 100 > 3000 OR p_retailprice > 3000 THEN 2 ELSE 3 END AS zoom FROM part")
+def raster_zoom(s: SparkSession, d: str) -> DataFrame:
+    return read_table(s, d, "part").select("p_partkey", X.raster_zoom(F.col("p_size") * 100, F.col("p_retailprice")).alias("zoom"))
 
 
 # ------------------------------------------------------------------------------------ graph
@@ -790,6 +803,13 @@ def metadata_filter(s: SparkSession, d: str) -> DataFrame:
     return vectors.where_metadata(listed, {"subject": "医学"}, {"keywords": "护理"}, "m").select("chunk_id").distinct()
 
 
+@query()
+def embedded_search(s: SparkSession, d: str) -> DataFrame:
+    """Questions embedded by the stand-in model, and the three nearest of every twentieth."""
+    vectors_of = embed(sets(s, d).select(F.explode(F.arrays_zip("q_ids", "q")).alias("z")).select(F.col("z.q_ids").alias("id"), F.col("z.q").alias("text")), "text")
+    return vectors.nearest(vectors_of, "id", "vector", F.col("id") % 20 == 0, 64, 3)
+
+
 PAIRS = f"(SELECT qa_id, q[1] AS c, q[2] AS r FROM {SETS} WHERE len(q) >= 2 AND q[1] IS NOT NULL AND q[2] IS NOT NULL)"
 
 

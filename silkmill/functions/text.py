@@ -200,3 +200,13 @@ def good_length(text: Column, low: int = 64, high: int = 2048, compat: bool = Fa
 def tokens(text: Column) -> Column:
     """Default tokenizer: the code points of a text."""
     return F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.ascii(c))
+
+
+def raster_zoom(width: Column, height: Column, most: int = 3000, large: int = 2, small: int = 3) -> Column:
+    """The zoom to draw a page with: less for pages above ``most`` points a side."""
+    return F.when((width > most) | (height > most), large).otherwise(small)
+
+
+def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """Euclidean distance of two points."""
+    return F.sqrt(F.pow(x1 - x2, 2) + F.pow(y1 - y2, 2))

@@ -142,3 +142,11 @@ def next_fit(df: DataFrame, shard: str, order: list[str], size: str, capacity: i
         return table.append_column("bin_no", pa.array(bins, pa.int32()))
 
     return df.groupBy(shard).applyInArrow(run, schema)
+
+
+def collect_parts(df: DataFrame, doc: str, position: str, column: str, size: int = 1000) -> DataFrame:
+    """(doc, part_no, items): a document's values in order of an integer position, ``size`` positions to a list, so
+    that even the longest document is never one list."""
+    part = F.floor(F.col(position) / size).cast("int").alias("part_no")
+    lists = F.array_sort(F.collect_list(F.struct(position, column)))
+    return df.groupBy(doc, part).agg(F.transform(lists, lambda s: s[column]).alias("items"))

@@ -113,3 +113,35 @@ def rounds(df: DataFrame, key: str, prompt: Callable[[int], Column], accept: Cal
     from pyspark.sql import Window
 
     return tried.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy("attempt"))).where(F.col("_n") <= wanted).drop("_n")
+
+
+class HashEmbedder:
+    """Vectors of hashed character trigrams, the same everywhere: a stand-in for an embedding model."""
+
+    dim = 64
+
+    def embed(self, texts: list[str]) -> list[list[float]]:
+        out = []
+        for t in texts:
+            v = [0.0] * self.dim
+            for i in range(max(1, len(t) - 2)):
+                h = int.from_bytes(hashlib.md5(t[i : i + 3].encode()).digest()[:4], "big")
+                v[h % self.dim] += 1.0 if h & 0x80000000 else -1.0
+            out.append(v)
+        return out
+
+
+def embed(df: DataFrame, text: str, make: Callable[[], object] = HashEmbedder) -> DataFrame:
+    """``df`` with vector array<float>: one embedder per Python worker, a batch at a time; null texts have no vector."""
+    schema = T.StructType([*df.schema.fields, T.StructField("vector", T.ArrayType(T.FloatType()))])
+    at = df.columns.index(text)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        client = make()
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            vectors = iter(client.embed([t for t in texts if t is not None]))
+            column = pa.array([None if t is None else next(vectors) for t in texts], pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "vector"])
+
+    return df.mapInArrow(run, schema)
