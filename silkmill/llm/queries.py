@@ -160,6 +160,15 @@ def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_classes, p4_found, p4_pieces, p5_found, p5_one_form, p6_found, p6_repaired, p7_containers, p7_fill, p8_mixture, p8_shares, p9_found, p9_composition)}
 ORACLES: dict[str, str] = {
+    "p2_found": r"""
+        WITH t AS (SELECT DISTINCT 'question' AS field, example_id AS id, question AS text FROM all_function_res_qas
+                UNION SELECT 'q', q_ids[i], q[i] FROM qa_sets, unnest(generate_series(1, len(q))) AS s(i)),
+            n AS (SELECT field, id, regexp_replace(lower(text), '[^\p{L}\p{N}]', '', 'g') AS text FROM t WHERE text IS NOT NULL AND id IS NOT NULL),
+            g AS (SELECT DISTINCT field, id, substr(text, CAST(i AS INT), 3) AS gram FROM n, unnest(generate_series(1, length(text) - 2)) AS s(i)),
+            c AS (SELECT field, id, count(*) AS size FROM g GROUP BY field, id),
+            p AS (SELECT a.field, a.id AS id_a, b.id AS id_b, count(*) AS shared FROM g a JOIN g b ON a.field = b.field AND a.gram = b.gram AND a.id < b.id GROUP BY ALL)
+        SELECT p.field, id_a, id_b FROM p JOIN c x ON x.field = p.field AND x.id = id_a JOIN c y ON y.field = p.field AND y.id = id_b
+        WHERE shared >= 0.6 * (x.size + y.size - shared)""",
     "p4_found": """
         SELECT DISTINCT field, row_id FROM (
             SELECT 'content' AS field, para_id AS row_id, content AS text FROM titled_paragraphs
