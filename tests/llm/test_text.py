@@ -59,7 +59,8 @@ def test_garbled_twice_in_part_and_lost(restorer):
     assert restorer.restore(twice)[0] == LATIN[0]
     part = ZH[0][:10] + garble(ZH[1], "latin_1>utf-8")
     assert restorer.restore(part)[0] == ZH[0][:10] + ZH[1]
-    assert restorer.restore("the patient�s cough")[1] == "lost"
+    for lost in ("the patient�s cough", "骨质疏松锟斤拷锟斤拷", "isnï¿½t"):
+        assert restorer.restore(lost)[1].endswith("lost")
     for fine in [*ZH, *LATIN, "ATENÇÃO: NÃO", "（俄文原名：Болезнь）", "nоt сlear", "１２３", "a b", "Öffnung façade"]:
         assert restorer.restore(fine) is None, fine
 
