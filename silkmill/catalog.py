@@ -570,7 +570,7 @@ def skip_existing(s: SparkSession, d: str) -> DataFrame:
     return triage.not_done(read_table(s, d, "books").select("book_id", "book_name"), "book_id", read_table(s, d, "documents").where(F.col("source") == "case_reports"), "book_id").select("book_id", "book_name")
 
 
-@query("SELECT source, count(*) AS documents, sum(n_chars) AS chars FROM documents GROUP BY source")
+@query("SELECT source, count(*) AS documents, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY source")
 def source_stats(s: SparkSession, d: str) -> DataFrame:
     return read_table(s, d, "documents").groupBy("source").agg(F.count("*").alias("documents"), F.sum("n_chars").alias("chars"))
 
@@ -730,7 +730,7 @@ def node_scan(s: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """WITH e AS (SELECT s_suppkey AS id, s_suppkey AS source, s_nationkey + 1000000 AS target, 'in' AS label FROM supplier), n AS (SELECT id + 5000000 AS id, source, target, 'near' AS label FROM e WHERE id % 4 = 0)
+    """WITH e AS (SELECT s_suppkey AS id, s_suppkey AS source, CAST(s_nationkey + 1000000 AS BIGINT) AS target, 'in' AS label FROM supplier), n AS (SELECT id + 5000000 AS id, source, target, 'near' AS label FROM e WHERE id % 4 = 0)
        SELECT id, source, target, label FROM e WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.source = e.source AND n.target = e.target) UNION ALL SELECT id, source, target, label FROM n"""
 )
 def edge_replace(s: SparkSession, d: str) -> DataFrame:
@@ -739,7 +739,7 @@ def edge_replace(s: SparkSession, d: str) -> DataFrame:
     return graph.replace_edges(edges, new).select("id", "source", "target", "label")
 
 
-@query("SELECT s_suppkey AS id, s_suppkey AS source, s_nationkey + 1000000 AS target FROM supplier WHERE s_suppkey % 3 = 0 OR s_nationkey % 3 = 0")
+@query("SELECT s_suppkey AS id, s_suppkey AS source, CAST(s_nationkey + 1000000 AS BIGINT) AS target FROM supplier WHERE s_suppkey % 3 = 0 OR s_nationkey % 3 = 0")
 def incident_edges(s: SparkSession, d: str) -> DataFrame:
     sup = read_table(s, d, "supplier")
     ids = sup.where(F.col("s_suppkey") % 3 == 0).select(F.col("s_suppkey").alias("id")).unionByName(read_table(s, d, "nation").where(F.col("n_nationkey") % 3 == 0).select((F.col("n_nationkey") + 1_000_000).cast("long").alias("id")))
@@ -752,7 +752,7 @@ def node_delete(s: SparkSession, d: str) -> DataFrame:
     return graph.delete_nodes(nodes, "Supplier", nodes.where(F.col("id") % 5 == 0)).select("id", "name")
 
 
-@query("SELECT s_suppkey AS id, s_suppkey AS source, s_nationkey + 1000000 AS target FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE n_regionkey <> 2")
+@query("SELECT s_suppkey AS id, s_suppkey AS source, CAST(s_nationkey + 1000000 AS BIGINT) AS target FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE n_regionkey <> 2")
 def node_delete_cascade(s: SparkSession, d: str) -> DataFrame:
     none = F.expr("map()").cast("map<string,string>")
     nations = read_table(s, d, "nation").select(F.array(F.concat(F.lit("R"), F.col("n_regionkey").cast("string"))).alias("labels"), (F.col("n_nationkey") + 1_000_000).cast("long").alias("id"), F.col("n_name").alias("name"), none.alias("props"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +25,7 @@ def ngram_overlap(df: DataFrame, key: str, candidate: Column, reference: Column,
 def bleu(df: DataFrame, key: str, candidate: Column, reference: Column, most: int = 4) -> DataFrame:
     """One row: bleu_1 .. bleu_most of the corpus, by clipped precisions, their geometric means and the brevity penalty."""
     sizes = df.agg(F.sum(F.size(candidate)).alias("c"), F.sum(F.size(reference)).alias("r"))
-    out = sizes.select(F.when(F.col("c") >= F.col("r"), F.lit(1.0)).otherwise(F.exp(1 - F.col("r") / F.col("c"))).alias("penalty"))
+    out = sizes.select(F.when(F.col("c") >= F.col("r"), F.lit(1.0)).otherwise(F.coalesce(F.exp(1 - F.col("r") / F.nullif("c", F.lit(0))), F.lit(0.0))).alias("penalty"))
     log_sum: Column = F.lit(0.0)
     for n in range(1, most + 1):
         total = ngram_overlap(df, key, candidate, reference, n).agg(F.sum("matches").alias("m"), F.sum("candidate_ngrams").alias("t")).select((F.col("m") / F.nullif("t", F.lit(0))).alias(f"p_{n}"))
@@ -72,7 +70,3 @@ def rouge_l(candidate: Column, reference: Column) -> Column:
         return pd.Series(out)
 
     return score(candidate, reference)
-
-
-def brevity_penalty(candidate: int, reference: int) -> float:
-    return 1.0 if candidate >= reference else math.exp(1 - reference / candidate) if candidate else 0.0

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from silkmill.functions.text import STOP_MARKER, clean_text, file_bucket, fenced_json, good_length, sections, squeeze, strip_replacement, tokens
 from silkmill.operators.chunking import SEPARATORS, next_fit, recursive_chunks
-from silkmill.operators.dialog import cut_windows, masked_sequence, role
+from silkmill.operators.dialog import continuation, cut_windows, keep_last, masked_sequence, prefix_examples, role
 from silkmill.operators.layout import reading_order
+from silkmill.operators.metrics import bleu
 from silkmill.operators.qa import asks_plainly, fan_out, is_answer, refined, union_all
 from silkmill.operators.sampling import sample_per_group
 from silkmill.operators.sections import coalesce_shorts, dialogue_records, fill_titles, stop_at_marker
@@ -116,3 +117,18 @@ def triaged(files: DataFrame, path: str) -> DataFrame:
 def scanned_pages(boxes: DataFrame, page: str) -> DataFrame:
     """Text of two-column pages from layout boxes with their recognised text."""
     return reading_order(boxes, page, F.col("page_width"))
+
+
+def evaluation_set(turns: DataFrame, conv: str, turn: str, most: int, reserve: int, part: str = "to ") -> DataFrame:
+    """(conv, turn, prompt, answer): each answer with the tokens of what came before it, the last ``most - reserve`` of them."""
+    found = prefix_examples(turns, conv, turn, "speaker", "text", part)
+    said = F.array_join(F.transform("history", lambda t: F.concat(t["speaker"], F.lit(": "), t["text"])), "\n")
+    prompts = found.select(conv, turn, tokens(said).alias("prompt"), tokens(F.col("answer")).alias("answer"))
+    return prompts.withColumn("prompt", keep_last(F.col("prompt"), most - reserve))
+
+
+def evaluate(predictions: DataFrame, examples: DataFrame, keys: list[str], end_token: int) -> DataFrame:
+    """One row of BLEU scores: generated tokens (keys, generated) against the examples' answers, joined by key, not by place."""
+    joined = examples.join(predictions, keys).withColumn("c", continuation(F.col("prompt"), F.col("generated"), F.lit(end_token)))
+    keyed = joined.select(F.concat_ws(":", *keys).alias("k"), "c", "answer")
+    return bleu(keyed, "k", F.col("c"), F.col("answer"))

@@ -241,3 +241,14 @@ def test_pipelines(spark):
     assert {r["first_title"] for r in merged} == {"甲"} and sum(len(r["chunk"]) for r in merged) >= 601
     assert pipelines.chunks_either_way(lines, ["file"], "text", True, 100, 0).count() == pipelines.chunks_either_way(lines, ["file"], "text", False, 100, 0).count()
     assert pipelines.titled_chunks(lines, "file", ["pos"]).count() >= 3
+
+
+def test_evaluation(spark):
+    turns = spark.createDataFrame([(1, 0, "A from User", "hello there"), (1, 1, "B to User", "good day"), (1, 2, "A from User", "and now"), (2, 0, "B to User", "first")], "conv int, turn int, speaker string, text string")
+    examples = pipelines.evaluation_set(turns, "conv", "turn", 12, 4)
+    row = examples.first()
+    assert examples.count() == 1 and len(row["prompt"]) == 8 and "".join(map(chr, row["answer"])) == "B to Usergood day"
+    right = examples.select("conv", "turn", F.concat("prompt", "answer", F.array(F.lit(2))).alias("generated"))
+    assert pipelines.evaluate(right, examples, ["conv", "turn"], 2).first()["bleu_4"] == pytest.approx(1.0)
+    wrong = right.withColumn("generated", F.array(F.lit(5)))
+    assert pipelines.evaluate(wrong, examples, ["conv", "turn"], 2).first()["bleu_1"] == 0.0
