@@ -177,7 +177,9 @@ def _descend(slices: DataFrame, outputs: int, rounds: int, seed: int) -> tuple[l
 
 def fit_subjects(labelled: DataFrame, codes: list[str], rounds: tuple[int, ...] = (30, 20, 20), limit: int = LABELLED, seed: int = 3) -> SubjectModel:
     """From (doc_id, text, codes array, weights array), at most ``limit`` documents, taken by the hash of their id."""
-    sample = labelled.where(F.length("text") > 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    # ids are chosen first, so that no more than ``limit`` ids, and no texts, are sorted or broadcast
+    ids = labelled.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    sample = labelled.where(F.length("text") > 0).join(F.broadcast(ids), "doc_id", "left_semi")
     sample = cut(sample.repartition(PARTITIONS, "doc_id").select("text", "codes", "weights"))
     context = labelled.sparkSession.sparkContext
     losses: list[float] = []
