@@ -86,7 +86,8 @@ def _router(shared: object, t: float) -> Callable[[Iterable[pa.RecordBatch]], It
                 row, h = row[order], h[order]
                 pos = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
                 of = size[row]
-                large = pos <= of - np.ceil(t * of - 1e-9)
+                # a sequence that no other text has leads to nobody, but it keeps its place in the order
+                large = (pos <= of - np.ceil(t * of - 1e-9)) & (frequency[bucket(h, DF_BITS)] > 1)
                 small = pos <= of - np.ceil(2 * t / (1 + t) * of - 1e-9)
                 row, h, pos, small = row[large], h[large], pos[large], small[large]
                 ids = batch.column(0).to_numpy(zero_copy_only=False)[row]
