@@ -38,6 +38,8 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
 
 # ---------------------------------------------------------------------------------------------- inputs
 
+#: Positions of a document per block in order-sensitive operators.
+BLOCK = 1024
 PARAS = "(SELECT DISTINCT para_id, book_id, pos, page_number, content, first_title, second_title FROM titled_paragraphs)"
 CHUNKS = "(SELECT DISTINCT chunk_id, book_id, chunk_no, page_content, metadata.page_number AS page_number FROM pdf_chunks)"
 SETS = "(SELECT DISTINCT qa_id, book_id, book_name, content, q, q_ids FROM qa_sets)"
@@ -274,7 +276,7 @@ def title_ffill(s: SparkSession, d: str) -> DataFrame:
     none = lambda c: F.coalesce(c, F.lit(""))
     mark = F.when(F.col("pos") % 7 == 0, F.concat(F.lit("####"), none("first_title"), F.lit("####"))).when(F.col("pos") % 5 == 0, F.concat(F.lit("###"), none("second_title"), F.lit("###"))).otherwise("")
     lines = paras(s, d).select("para_id", "book_id", "pos", F.concat(mark, F.lit("\n"), none("content")).alias("text"))
-    return sections.fill_titles(lines, "book_id", ["pos", "para_id"], "text").select("para_id", "book_id", "first_title", "second_title", "text")
+    return sections.fill_titles(lines, "book_id", ["pos", "para_id"], "text", block=F.floor(F.col("pos") / BLOCK)).select("para_id", "book_id", "first_title", "second_title", "text")
 
 
 @query(
@@ -283,7 +285,7 @@ def title_ffill(s: SparkSession, d: str) -> DataFrame:
        WHERE seen = 0"""
 )
 def stop_marker(s: SparkSession, d: str) -> DataFrame:
-    return sections.stop_at_marker(chunks(s, d), "book_id", ["chunk_no", "chunk_id"], "page_content", "编写组").select("chunk_id", "page_content")
+    return sections.stop_at_marker(chunks(s, d), "book_id", ["chunk_no", "chunk_id"], "page_content", "编写组", F.floor(F.col("chunk_no") / BLOCK)).select("chunk_id", "page_content")
 
 
 @query(
@@ -295,7 +297,7 @@ def stop_marker(s: SparkSession, d: str) -> DataFrame:
        UNION ALL SELECT book_id, CAST(island AS INT), 1, shorts, nullif(CASE WHEN has_long = 1 THEN f_own ELSE f_last END, chr(1)) FROM g WHERE shorts IS NOT NULL"""
 )
 def short_coalesce(s: SparkSession, d: str) -> DataFrame:
-    return sections.coalesce_shorts(paras(s, d), "book_id", ["pos", "para_id"], "content", ["first_title"])
+    return sections.coalesce_shorts(paras(s, d), "book_id", ["pos", "para_id"], "content", ["first_title"], block=F.floor(F.col("pos") / BLOCK))
 
 
 LINES = f"""(SELECT 'f' || (conv_id % 10) AS file, conv_id * 100 + k AS line_no, line FROM (
@@ -325,7 +327,7 @@ def dialogue_lines(s: SparkSession, d: str) -> DataFrame:
        FROM r GROUP BY file, record_no"""
 )
 def dialog_state_machine(s: SparkSession, d: str) -> DataFrame:
-    return sections.dialogue_records(dialogue_lines(s, d), "file", "line_no", "line")
+    return sections.dialogue_records(dialogue_lines(s, d), "file", "line_no", "line", block=F.floor(F.col("line_no") / 50_000))
 
 
 @query("SELECT file, count(*) AS records FROM (SELECT 'f' || (qa_id % 10) AS file FROM " + SETS + ") GROUP BY file")

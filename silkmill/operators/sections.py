@@ -1,7 +1,10 @@
 """Order-sensitive operators on the lines and paragraphs of a document: windows, islands, no Python.
 
-All windows are partitioned by the document. A document's rows must carry an explicit position;
-equal positions are told apart by a tie column.
+A document's rows must carry an explicit position; equal positions are told apart by a tie column.
+Running values are taken block by block: ``block`` is an integer that never falls along a document's
+order (such as position / 1024), windows run within a block, and what earlier blocks carry over comes
+from one summary row a block. So a document that holds a great part of all rows is worked on by many
+tasks; without a block it is one.
 """
 
 from __future__ import annotations
@@ -10,15 +13,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def stop_at_marker(pages: DataFrame, doc: str, order: list[str], text: str, marker: str) -> DataFrame:
+def with_running(df: DataFrame, doc: str, order: list[str], lasts: dict[str, Column], sums: dict[str, Column], block: Column | None = None) -> DataFrame:
+    """Adds, over each document up to and with the row, the last value that is not null and the sum of each given expression."""
+    staged = df.select("*", (block if block is not None else F.lit(0)).alias("_b"), *[e.alias(f"_e_{n}") for n, e in {**lasts, **sums}.items()])
+    within = Window.partitionBy(doc, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    last = {n: F.last(f"_e_{n}", True).over(within) for n in lasts}
+    total = {n: F.coalesce(F.sum(f"_e_{n}").over(within), F.lit(0)) for n in sums}
+    if block is None:
+        return staged.select(*df.columns, *[e.alias(n) for n, e in {**last, **total}.items()])
+    at = F.struct(*order)
+    ends = [F.max_by(f"_e_{n}", F.when(F.col(f"_e_{n}").isNotNull(), at)).alias(f"_l_{n}") for n in lasts]
+    ends += [F.sum(f"_e_{n}").alias(f"_s_{n}") for n in sums]
+    summary = staged.groupBy(F.col(doc).alias("_d"), F.col("_b").alias("_k")).agg(*ends)
+    before = Window.partitionBy("_d").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    carried = [F.last(f"_l_{n}", True).over(before).alias(f"_c_{n}") for n in lasts] + [F.coalesce(F.sum(f"_s_{n}").over(before), F.lit(0)).alias(f"_c_{n}") for n in sums]
+    joined = staged.join(summary.select("_d", "_k", *carried), F.col(doc).eqNullSafe(F.col("_d")) & (F.col("_b") == F.col("_k")))
+    out = [F.coalesce(e, F.col(f"_c_{n}")).alias(n) for n, e in last.items()] + [(e + F.col(f"_c_{n}")).alias(n) for n, e in total.items()]
+    return joined.select(*df.columns, *out)
+
+
+def stop_at_marker(pages: DataFrame, doc: str, order: list[str], text: str, marker: str, block: Column | None = None) -> DataFrame:
     """Pages up to the first that holds ``marker``, that one cut before it; later pages are dropped."""
-    before = Window.partitionBy(doc).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     hit = F.coalesce(F.contains(text, F.lit(marker)), F.lit(False)).cast("int")
-    seen = F.coalesce(F.max(hit).over(before), F.lit(0))
-    return pages.withColumn("_seen", seen).where(F.col("_seen") == 0).drop("_seen").withColumn(text, F.substring_index(text, marker, 1))
+    seen = with_running(pages, doc, order, {}, {"_seen": hit}, block)
+    first = seen.where((F.col("_seen") == 0) | ((F.col("_seen") == 1) & (hit == 1)))
+    return first.drop("_seen").withColumn(text, F.substring_index(text, marker, 1))
 
 
-def fill_titles(lines: DataFrame, doc: str, order: list[str], text: str, reset_sub: bool = False) -> DataFrame:
+def fill_titles(lines: DataFrame, doc: str, order: list[str], text: str, reset_sub: bool = False, block: Column | None = None) -> DataFrame:
     """Adds first_title and second_title, and removes the markers ####title#### and ###title### from the text.
 
     A title holds until the next of its kind; with ``reset_sub`` a first title also ends the second.
@@ -30,25 +52,23 @@ def fill_titles(lines: DataFrame, doc: str, order: list[str], text: str, reset_s
     rest = F.when(t.rlike(first_mark), F.regexp_replace(t, first_mark, "")).otherwise(t)
     found_second = F.when(rest.rlike(second_mark), F.replace(F.regexp_extract(rest, second_mark, 1), F.lit("###"), F.lit("")))
     clean = F.when(rest.rlike(second_mark), F.regexp_replace(rest, second_mark, "")).otherwise(rest)
-    so_far = Window.partitionBy(doc).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     marked = lines.select("*", found_first.alias("_f"), found_second.alias("_s"), clean.alias("_c"))
     if reset_sub:
         marked = marked.withColumn("_s", F.when(F.col("_s").isNotNull(), F.col("_s")).when(F.col("_f").isNotNull(), F.lit("")))
-    filled = marked.withColumn("first_title", F.last("_f", True).over(so_far)).withColumn("second_title", F.last("_s", True).over(so_far))
+    filled = with_running(marked, doc, order, {"first_title": F.col("_f"), "second_title": F.col("_s")}, {}, block)
     return filled.withColumn(text, F.col("_c")).drop("_f", "_s", "_c")
 
 
-def coalesce_shorts(paragraphs: DataFrame, doc: str, order: list[str], text: str, keep: list[str], limit: int = 64, compat: bool = False) -> DataFrame:
+def coalesce_shorts(paragraphs: DataFrame, doc: str, order: list[str], text: str, keep: list[str], limit: int = 64, compat: bool = False, block: Column | None = None) -> DataFrame:
     """Paragraphs of at most ``limit`` characters gathered until the next long one.
 
     Each long paragraph is emitted first, then the shorts before it as one, with the long one's
     ``keep`` columns. Shorts after the last long one come last with their own last columns; with
     ``compat`` they are dropped. Columns: doc, island, part (0 long, 1 shorts), text, keep.
     """
-    w = Window.partitionBy(doc).orderBy(*order)
     is_long = (F.length(text) > limit).cast("int")
-    island = F.coalesce(F.sum(is_long).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    marked = paragraphs.where(F.col(text).isNotNull()).select(doc, F.struct(*order).alias("_at"), F.col(text).alias("_t"), *keep, is_long.alias("_long"), island.alias("island"))
+    counted = with_running(paragraphs.where(F.col(text).isNotNull()), doc, order, {}, {"_upto": is_long}, block)
+    marked = counted.select(doc, F.struct(*order).alias("_at"), F.col(text).alias("_t"), *keep, is_long.alias("_long"), (F.col("_upto") - is_long).alias("island"))
     of_short = F.when(F.col("_long") == 0, F.struct("_at", "_t"))
     grouped = marked.groupBy(doc, "island").agg(
         F.max(F.when(F.col("_long") == 1, F.struct("_at", "_t", *keep))).alias("_l"),
@@ -69,7 +89,7 @@ def coalesce_shorts(paragraphs: DataFrame, doc: str, order: list[str], text: str
 HEADERS = (("id", "urls"), ("Doctor faculty", "Doctor_faculty"), ("Description", "Description"), ("Dialogue", "Dialogue"))
 
 
-def dialogue_records(lines: DataFrame, file: str, number: str, line: str, compat: bool = False) -> DataFrame:
+def dialogue_records(lines: DataFrame, file: str, number: str, line: str, compat: bool = False, block: Column | None = None) -> DataFrame:
     """(file, record_no, id, urls, Doctor_faculty, Description, Dialogue) from the lines of dialogue files.
 
     A line that begins with a header opens that part, "id" also a new record; what else the header
@@ -81,10 +101,9 @@ def dialogue_records(lines: DataFrame, file: str, number: str, line: str, compat
     header = F.lit(None).cast("string")
     for prefix, name in reversed(HEADERS):
         header = F.when(F.startswith(t, F.lit(prefix)), F.lit(name)).otherwise(header)
-    w = Window.partitionBy(file).orderBy(number)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
     marked = lines.where(F.length(F.replace(t, F.lit("\n"), F.lit(""))) > 0).select(file, number, t.alias("_t"), header.alias("_h"))
-    marked = marked.withColumn("record_no", F.sum((F.coalesce(F.col("_h"), F.lit("")) == "urls").cast("int")).over(upto)).withColumn("_part", F.last("_h", True).over(upto)).where(F.col("record_no") > 0)
+    opens = (F.coalesce(F.col("_h"), F.lit("")) == "urls").cast("int")
+    marked = with_running(marked, file, [number], {"_part": F.col("_h")}, {"record_no": opens}, block).where(F.col("record_no") > 0)
     join = lambda name: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_h").isNull() & (F.col("_part") == name), F.struct(number, "_t")))), lambda s: s["_t"]), "\n")
     lead = F.lit("\n") if compat else F.lit("")
     value = lambda name: F.when(F.length(join(name)) > 0, F.concat(lead, join(name))).otherwise("").alias(name)

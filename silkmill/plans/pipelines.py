@@ -18,12 +18,15 @@ from silkmill.operators.sections import coalesce_shorts, dialogue_records, fill_
 from silkmill.operators.tool_calls import calls_are_valid
 from silkmill.plans.model import ModelClient, StubModel, ask, ask_template, loose_bool
 
+#: Positions of a document per block of order-sensitive steps; the first column of an order is an integer position.
+BLOCK = 1024
+
 
 def load_chunks(pages: DataFrame, doc: str, size: int = 1024, overlap: int = 128, separators: Sequence[str] = SEPARATORS, least: int = 64, keep_newlines: bool = False) -> DataFrame:
     """(doc, page_number, total_pages, chunk_no, chunk) of (doc, page_number, text): bibliography cut off, text cleaned,
     split, short chunks dropped, line breaks removed unless kept. total_pages counts the document's pages as given."""
     total = F.count("*").over(Window.partitionBy(doc)).cast("int")
-    kept = stop_at_marker(pages.withColumn("total_pages", total), doc, ["page_number"], "text", STOP_MARKER)
+    kept = stop_at_marker(pages.withColumn("total_pages", total), doc, ["page_number"], "text", STOP_MARKER, F.floor(F.col("page_number") / BLOCK))
     cleaned = kept.withColumn("text", clean_text(F.col("text")))
     chunks = recursive_chunks(cleaned, [doc, "page_number", "total_pages"], "text", size, overlap, separators)
     chunk = strip_replacement(F.col("chunk"))
@@ -46,17 +49,17 @@ def gate(df: DataFrame, text: str, question: str, make: Callable[[], ModelClient
 
 def titled_chunks(lines: DataFrame, doc: str, order: list[str], size: int = 300, overlap: int = 50) -> DataFrame:
     """(doc, first_title, second_title, pos.., chunk_no, chunk): titles carried down, long lines split, text cleaned."""
-    titled = fill_titles(lines, doc, order, "text")
+    titled = fill_titles(lines, doc, order, "text", block=F.floor(F.col(order[0]) / BLOCK))
     return recursive_chunks(titled, [doc, *order, "first_title", "second_title"], "text", size, overlap).withColumn("chunk", clean_text(F.col("chunk")))
 
 
 def merged_paragraphs(lines: DataFrame, doc: str, order: list[str], long: int = 500, size: int = 300, overlap: int = 50) -> DataFrame:
     """Titled paragraphs without inner white space, those above ``long`` split, short ones gathered."""
-    titled = fill_titles(lines, doc, order, "text").withColumn("text", clean_text(squeeze(F.col("text"))))
+    titled = fill_titles(lines, doc, order, "text", block=F.floor(F.col(order[0]) / BLOCK)).withColumn("text", clean_text(squeeze(F.col("text"))))
     keys = [doc, *order, "first_title", "second_title"]
     whole = titled.where(F.length("text") <= long).select(*keys, F.lit(0).alias("chunk_no"), F.col("text").alias("chunk"))
     split = recursive_chunks(titled.where(F.length("text") > long), keys, "text", size, overlap)
-    return coalesce_shorts(whole.unionByName(split), doc, [*order, "chunk_no"], "chunk", ["first_title", "second_title"])
+    return coalesce_shorts(whole.unionByName(split), doc, [*order, "chunk_no"], "chunk", ["first_title", "second_title"], block=F.floor(F.col(order[0]) / BLOCK))
 
 
 def sampled_questions(paragraphs: DataFrame, key: str, text: str, template: str, times: int = 5, make: Callable[[], ModelClient] = StubModel) -> DataFrame:

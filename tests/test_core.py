@@ -65,6 +65,20 @@ def test_stop_and_records(spark):
     assert [r["Description"] for r in sections.dialogue_records(df, "file", "n", "line", compat=True).collect()] == ["\na\nb"]
 
 
+def test_blocks_change_nothing(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = [(rng.choice(["a", "b", None]), i, rng.choice(["####t####x", "###u###", "y" * 70, "z", "w参考文献", None, ""])) for i in range(300)]
+    df = spark.createDataFrame(rows, "d string, pos int, t string")
+    same = lambda f: sorted(map(str, f(None).collect())) == sorted(map(str, f(F.floor(F.col("pos") / 7)).collect()))
+    assert same(lambda b: sections.fill_titles(df, "d", ["pos"], "t", block=b))
+    assert same(lambda b: sections.stop_at_marker(df, "d", ["pos"], "t", "参考文献", b))
+    assert same(lambda b: sections.coalesce_shorts(df, "d", ["pos"], "t", ["pos"], block=b))
+    lines = df.withColumn("t", F.when(F.col("pos") % 9 == 0, F.concat(F.lit("id="), "pos")).when(F.col("pos") % 4 == 0, "Dialogue").otherwise(F.col("t")))
+    assert same(lambda b: sections.dialogue_records(lines, "d", "pos", "t", block=b))
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="ab。\n ", max_size=120), st.integers(5, 20), st.integers(0, 4))
 def test_recursive_split(text, size, overlap):
