@@ -108,22 +108,24 @@ def _gradient(shared: object, outputs: int) -> Callable[[Iterable[pa.RecordBatch
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         embeddings, out, bias = shared.value
-        d_embeddings, d_out, d_bias, total, loss = np.zeros_like(embeddings), np.zeros_like(out), np.zeros_like(bias), 0, 0.0
+        columns = np.ascontiguousarray(embeddings.T)  # a dimension at a time: each fits the cache
+        d_columns, d_out, d_bias, total, loss = np.zeros_like(columns), np.zeros_like(out), np.zeros_like(bias), 0, 0.0
         for batch in batches:
             for row in batch.to_pylist():
                 n = row["n"]
                 doc, ids = np.frombuffer(row["docs"], np.int32), np.frombuffer(row["ids"], np.int32)
                 w, targets = np.frombuffer(row["weights"], np.float32), np.frombuffer(row["targets"], np.float32).reshape(n, outputs)
-                mean = np.stack([np.bincount(doc, embeddings[ids, k] * w, minlength=n) for k in range(embeddings.shape[1])], axis=1)
+                mean = np.stack([np.bincount(doc, column[ids] * w, minlength=n) for column in columns], axis=1)
                 p = 1.0 / (1.0 + np.exp(-(mean @ out + bias)))
                 loss -= float((targets * np.log(p + 1e-7) + (1 - targets) * np.log(1 - p + 1e-7)).sum())
                 error = p - targets
                 d_out += (mean.T @ error).astype(np.float32)
                 d_bias += error.sum(axis=0).astype(np.float32)
-                back = (error @ out.T).astype(np.float32)
-                for k in range(embeddings.shape[1]):
-                    d_embeddings[:, k] += np.bincount(ids, back[doc, k] * w, minlength=len(embeddings))
+                back = np.ascontiguousarray((error @ out.T).T.astype(np.float32))
+                for k, column in enumerate(back):
+                    d_columns[k] += np.bincount(ids, column[doc] * w, minlength=len(embeddings))
                 total += n
+        d_embeddings = np.ascontiguousarray(d_columns.T)
         touched = np.flatnonzero(np.abs(d_embeddings).sum(axis=1)).astype(np.int32)
         yield pa.RecordBatch.from_pylist([{"n": total, "loss": loss, "rows": touched.tobytes(), "grads": d_embeddings[touched].tobytes(), "rest": np.concatenate([d_out.ravel(), d_bias]).astype(np.float32).tobytes()}], schema=pa.schema([("n", pa.int32()), ("loss", pa.float64()), ("rows", pa.binary()), ("grads", pa.binary()), ("rest", pa.binary())]))
 
@@ -217,7 +219,7 @@ def _sentence_scores(at: np.ndarray, ids: np.ndarray, cuts: np.ndarray, table: n
     """Outputs of each sentence, and the number of its features; a sentence without features scores the biases."""
     which = np.searchsorted(cuts, at, side="right") - 1
     count = np.bincount(which, minlength=len(cuts))
-    sums = [np.bincount(which, table[ids, k], minlength=len(cuts)) for k in range(len(bias))]
+    sums = [np.bincount(which, column[ids], minlength=len(cuts)) for column in np.ascontiguousarray(table.T)]
     return np.stack(sums, axis=1) / np.maximum(count, 1)[:, None] + bias, count
 
 
