@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -280,6 +281,7 @@ _PAGE_FORM = re.compile(
     rf"|{_NUMBERS}\s?/\s?\d{{1,5}}"
     r")(?!\S)"
 )
+_DIGIT = re.compile(r"\d")
 _BARE = re.compile(r"(?<!\S)\d{1,5}(?!\S)")
 _BROKEN = re.compile(r"([A-Za-zÀ-ɏ]+)([-¬‐­])([ \n\r]+)([A-Za-zÀ-ɏ]+)")
 _TOKEN = re.compile(r"[A-Za-zÀ-ɏ0-9]+|\S")
@@ -312,6 +314,14 @@ class Repairer:
         names = sorted({t for t in self.titles if len(t) > 1}, key=lambda t: (-len(t), t))
         self.find_titles = re.compile("|".join(re.escape(t) for t in names)) if names else None
 
+    def may_hold_furniture(self, text: str, page: int | None, book: str | None, other_digits: bool) -> bool:
+        """No text in which ``furniture`` finds anything fails this; ``other_digits``: it has digits of another script."""
+        if other_digits or (_DIGIT.search(text) if page is None else str(page) in text):
+            return True
+        if book and len(book) > 1 and all(w in text for w in book.split(" ")):
+            return True
+        return bool(self.find_titles and self.find_titles.search(text))
+
     def _fits(self, text: str, start: int, end: int, number: bool) -> bool:
         """What stands around a span belongs together, as far as the corpus shows, and the span doesn't belong to it."""
         before, after = _last_token(text[:start]), _first_token(text[end:])
@@ -428,11 +438,18 @@ def reflow(text: str) -> str:
 def _odd() -> np.ndarray:
     """Of each code point: text with it may not be in one form. Characters beyond the first plane count as U+FFFF."""
     out = np.zeros(0x10000, bool)
-    out[[c for c in plain_forms() if c < 0x10000] + [ord(c) for c in LOOKALIKES] + [0x200D, *range(0x300, 0x370)]] = True
+    out[[c for c in plain_forms() if c < 0x10000] + [ord(c) for c in LOOKALIKES] + [0x200D, 0xFFFF, *range(0x300, 0x370)]] = True
+    return out
+
+
+def _other_digits() -> np.ndarray:
+    """Of each code point: a decimal digit of another script. Characters beyond the first plane count as U+FFFF, which may be one."""
+    out = np.zeros(0x10000, bool)
+    out[[c for c in range(0x80, 0x10000) if chr(c).isdecimal()] + [0xFFFF]] = True
     return out
 
 
-_ODD = _odd()
+_ODD, _OTHER_DIGITS = _odd(), _other_digits()
 
 
 def _in_one_form(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -455,7 +472,8 @@ def _repairer(shared: object, excluded: Callable[[], Callable[[str, str], bool]]
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, titles = shared.value
         lexicon = Lexicon(*state)
-        repairer = Repairer(lexicon, titles)
+        repairer = Repairer(lexicon, [quick_form(t) for t in titles])
+        one_form = lru_cache(10_000)(quick_form)  # names are searched in texts of one form
         test = excluded() if excluded else None
         for stored in batches:
             batch = _in_one_form(stored)
@@ -489,11 +507,16 @@ def _repairer(shared: object, excluded: Callable[[], Callable[[str, str], bool]]
             marks = np.flatnonzero(np.isin(points, np.array([ord(c) for c in "-¬‐­"], np.uint32)))
             spaced = marks[(marks + 1 < len(points)) & np.isin(points[np.minimum(marks + 1, len(points) - 1)], np.array([32, 10, 13], np.uint32))]
             look = set((np.searchsorted(starts, spaced, side="right") - 1).tolist()) | set(fixes)
-            look |= set(np.flatnonzero(batch.column(5).to_numpy(zero_copy_only=False)).tolist())
+            others = np.zeros(len(starts), bool)
+            others[np.searchsorted(starts, np.flatnonzero(_OTHER_DIGITS[np.minimum(points, 0xFFFF)]), side="right") - 1] = True
+            books = [one_form(b) if b else b for b in batch.column(4).to_pylist()]
+            for row, (text, page, book) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), books, strict=True)):
+                if row not in look and repairer.may_hold_furniture(text, page, book, bool(others[row])):
+                    look.add(row)
             if not look:
                 continue
             at = sorted(look)
-            few = batch.take(pa.array(at))
+            few = batch.take(pa.array(at)).set_column(4, "book", pa.array([books[row] for row in at], pa.string()))
             rows = []
             as_stored = stored.column(2).take(pa.array(at)).to_pylist()
             for row, raw, name, key, text, page, book in zip(at, as_stored, *(few.column(k).to_pylist() for k in range(5)), strict=True):
@@ -520,10 +543,4 @@ def repair_scans(pages: DataFrame, lexicon: Lexicon, titles: list[str], excluded
     """
     shared = pages.sparkSession.sparkContext.broadcast((lexicon.state(), titles))
     pages = pages.where(F.length("text") > 0)
-    number = F.col("page").cast("string")
-    wide = F.translate(number, "0123456789", "０１２３４５６７８９")
-    near = F.coalesce(F.contains("text", number) | F.contains("text", wide), F.lit(False)) | F.coalesce(F.contains("text", F.col("book")), F.lit(False))
-    if titles:
-        near = near | F.col("text").rlike("|".join(re.escape(x) for x in titles))
-    near = near | (F.col("page").isNull() & F.col("text").rlike(r"[0-9０-９]"))
-    return pages.select("field", "row_id", "text", F.col("page").cast("int").alias("page"), "book", F.coalesce(near, F.lit(False)).alias("near")).mapInArrow(_repairer(shared, excluded), "field string, row_id long, repaired string, broken int, furniture int, misread int")
+    return pages.select("field", "row_id", "text", F.col("page").cast("int").alias("page"), "book").mapInArrow(_repairer(shared, excluded), "field string, row_id long, repaired string, broken int, furniture int, misread int")

@@ -179,6 +179,19 @@ def test_repair(spark, scans):
     assert repair_scans(df.where("row_id = 20"), empty, []).count() == 0
 
 
+def test_furniture_in_other_forms(spark, scans):
+    lexicon, _ = scans
+    zh = "体重指数大于30kg者发生高血压的风险较高。本例因头痛入院5天，诊断为糖尿病，给予卧床休息后好转。"
+    lines = {1: "\u2f64药须知", 2: "用\u200b药须知", 3: "青岚\ufeff手册", 4: "Lovor\xa0Guide", 5: "Lovor\nGuide", 6: "第\U0001d7d5\U0001d7d5页", 7: "- ７７ -", 8: "- \u0667\u0667 -", 9: "\U0002f828药须知"}
+    rows = [("content", i, zh[:10] + "\n" + line + "\n" + zh[10:], 77, "青岚手册" if i == 3 else "Lovor Guide") for i, line in lines.items()]
+    rows += [("content", 20, zh + "\u200b", 77, "青岚手册")]
+    got = {r["row_id"]: r for r in repair_scans(spark.createDataFrame(rows, ROW + ", page int, book string"), lexicon, ["用药须知", "勺药须知"]).collect()}
+    assert sorted(got) == sorted(lines)
+    assert all(r["furniture"] == 1 and re.sub(r"\s", "", r["repaired"]) == zh for r in got.values())
+    odd_name = spark.createDataFrame([("content", 1, zh[:10] + "\n青岚手册\n" + zh[10:], 77, "青岚\u200b手册")], ROW + ", page int, book string")
+    assert repair_scans(odd_name, lexicon, []).count() == 1
+
+
 def test_reflow_and_titles(spark, scans):
     assert reflow("这一行还没有说完就断了\n接着\n\n新段。\n1. 甲\n2. 乙\n体温\n37.6") == "这一行还没有说完就断了接着\n\n新段。\n1. 甲\n2. 乙\n体温\n37.6"
     assert reflow("a longer line\nc d. Each\nf") == "a longer line c d. Each f"
