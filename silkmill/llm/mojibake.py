@@ -303,42 +303,75 @@ def garble(text: str, chain_name: str) -> str | None:
         return None
 
 
-def validated_margin(restorer: Restorer, held_out: list[str]) -> float:
-    """The margin, from 8 to 20, with the fewest errors on held-out clean records and on the same records garbled by each chain."""
-    restorer.chains = restorer.chains or all_chains()
-    clean_gains, garbled_gains = [], []
-
-    def largest(text: str) -> float:
-        gains = [g.max() for chain, changes, g in restorer.proposals(text) if chain.true != "gbk" or max(len(c.text) for c in changes) >= 3]
-        return float(max(gains, default=0.0))
-
-    for i, text in enumerate(held_out):
-        clean_gains.append(largest(text[:400]))
-        name = restorer.chains[i % len(restorer.chains)].name
-        bad = garble(text[:120], name)
-        if bad is not None and bad != text[:120]:
-            garbled_gains.append(largest(bad))
-    grid = np.arange(8.0, 20.5, 0.5)
-    errors = np.array([sum(g > m for g in clean_gains) * 3 + sum(g <= m for g in garbled_gains) for m in grid])
-    fewest = grid[errors == errors.min()]
-    return float(min(fewest[0] + 1.0, fewest[-1]))
+#: The margins to choose from.
+MARGINS = np.arange(8.0, 20.5, 0.5)
+_SENTENCE = re.compile(r"[^。！？.!?\n]*[。！？.!?\n]*")
+
+
+def garbled_as_far(text: str, chain_name: str) -> str | None:
+    """The whole text garbled, or each of its sentences that survives; None where nothing changes."""
+    bad = garble(text, chain_name)
+    if bad is None:
+        parts = _SENTENCE.findall(text)
+        bad = "".join(p if (b := garble(p, chain_name)) is None else b for p in parts)
+    return bad if bad != text else None
+
+
+def margins_below(restorer: Restorer, text: str) -> int:
+    """How many of ``MARGINS`` the largest gain of any change of the whole text exceeds."""
+    gains = [g.max() for chain, changes, g in restorer.proposals(text) if chain.true != "gbk" or max(len(c.text) for c in changes) >= 3]
+    return int(np.searchsorted(MARGINS, max(gains, default=0.0)))
+
+
+def _validator(shared: object) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches of (text, number) to one row (garbled, below, n) per case of its partition; the number chooses the chain."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer = Restorer.of(shared.value)
+        restorer.chains = all_chains()
+        counts = np.zeros((2, len(MARGINS) + 1), np.int64)
+        for batch in batches:
+            for text, number in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts[0, margins_below(restorer, text)] += 1
+                bad = garbled_as_far(text, restorer.chains[number % len(restorer.chains)].name)
+                if bad is not None:
+                    counts[1, margins_below(restorer, bad)] += 1
+        kind, below = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(below, pa.int32()), pa.array(counts[kind, below])], names=["garbled", "below", "n"])
+
+    return run
+
 
+def validated_margin(restorer: Restorer, held_out: DataFrame, text_col: str) -> float:
+    """The margin, from 8 to 20, with the fewest errors on held-out clean records and on the same records garbled.
 
-#: Held-out clean records for the margin, at most.
-HELD_OUT = 300
+    All records count, with their whole texts; each is garbled by a chain that its hash chooses, so
+    that the margin doesn't depend on the order of rows.
+    """
+    shared = held_out.sparkSession.sparkContext.broadcast(restorer.state())
+    number = F.pmod(F.xxhash64(F.lit(1), f"`{text_col}`"), F.lit(1 << 30)).cast("int")
+    found = held_out.select(F.col(f"`{text_col}`"), number).mapInArrow(_validator(shared), "garbled int, below int, n long").groupBy("garbled", "below").agg(F.sum("n").alias("n")).collect()
+    if not found:
+        return restorer.margin
+    counts = np.zeros((2, len(MARGINS) + 1), np.int64)
+    for r in found:
+        counts[r["garbled"], r["below"]] = r["n"]
+    # a gain that exceeds k margins is taken by the first k of them
+    false, missed = counts[0].sum() - np.cumsum(counts[0])[:-1], np.cumsum(counts[1])[:-1]
+    errors = 3 * false + missed
+    fewest = MARGINS[errors == errors.min()]
+    return float(min(fewest[0] + 1.0, fewest[-1]))
 
 
-def fit_restorer(clean: DataFrame, text_col: str, held_out: int = HELD_OUT) -> Restorer:
-    """The model counts four fifths of the clean records, all of them; at most ``held_out`` others validate the margin.
+def fit_restorer(clean: DataFrame, text_col: str) -> Restorer:
+    """The model counts four fifths of the clean records, all of them; all others validate the margin.
 
     With no clean records nothing but replacement characters is found.
     """
     fifth = F.pmod(F.xxhash64(f"`{text_col}`"), F.lit(5))
     part = clean.where(F.col(f"`{text_col}`").isNotNull())
     restorer = Restorer(fit_char_model(part.where(fifth != 0), text_col))
-    sample = [r[0] for r in part.where(fifth == 0).select(text_col).limit(held_out).collect()]
-    if sample:
-        restorer.margin = validated_margin(restorer, sorted(sample))
+    restorer.margin = validated_margin(restorer, part.where(fifth == 0), text_col)
     return restorer
 
 

@@ -76,6 +76,19 @@ def test_find_garbled_rows(spark, restorer):
     assert find_garbled(df.where("row_id = 2"), nothing).count() == 0
 
 
+def test_margin_from_whole_texts_of_all_held_out_records(spark, restorer):
+    rng = random.Random(2)
+    tail = " " + garble("x°9", "cp1252>utf-8")  # clean as stored, and beyond any prefix
+    texts = [" ".join(rng.choice(LATIN) for _ in range(9)) + f" {i}" + tail * (i >= 400) for i in range(800)]
+    rows = spark.createDataFrame([(t,) for t in texts], "clean_text string").withColumn("part", F.expr("pmod(xxhash64(clean_text), 5)"))
+    plain, quoting = rows.where(f"NOT endswith(clean_text, '{tail}')"), rows.where(f"endswith(clean_text, '{tail}') AND part = 0")
+    gain = max(float(g.max()) for _, _, g in fit_restorer(plain, "clean_text").proposals(tail))
+    assert 9 < gain < 19
+    fitted = fit_restorer(plain.union(quoting), "clean_text")
+    assert fitted.margin > gain and fitted.restore(texts[0] + tail) is None
+    assert fit_restorer(plain.union(quoting).repartition(9, "part"), "clean_text").margin == fitted.margin
+
+
 CASES = {
     "对比８例": "对比8例", "nоt": "not", "a​b": "ab", "Méni": "Méni", "10 2 3 ": "10 2 3 ", "ﬁne": "fine", "⼼": "心", "mmοl/L": "mmol/L", "ΙgА与ΙgΜ": "IgA与IgM",
     "HbA1с": "HbA1c", "例外": "例外", "Ｈｉ": "Hi", "x﻿": "x",
