@@ -13,7 +13,7 @@ from silkmill.llm.mixing import mix, share_report
 from silkmill.llm.mojibake import Restorer, find_garbled, fit_restorer
 from silkmill.llm.near_copies import all_pairs, classes_with_links, near_copies
 from silkmill.llm.packing import count_tokens, fill_report, pack_documents
-from silkmill.llm.scanned import fit_lexicon, repair_scans, shared_titles
+from silkmill.llm.scanned import fit_lexicon, repair_scans, shared_titles, titles_by_book
 from silkmill.llm.splitting import read_limits, split_texts
 from silkmill.llm.subjects import assign_subjects, fit_subjects, with_labels
 from silkmill.session import broadcast_if_small, cut, read_table
@@ -87,18 +87,27 @@ def p5_one_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _one_form(spark, sf_dir).groupBy("field", "row_id").agg(F.max("one_form").alias("one_form"))
 
 
-def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(field, row_id, text, page, book) of both fields; the books' names are joined by broadcast while they are few."""
+def _pages(spark: SparkSession, sf_dir: str, shared: list[str]) -> DataFrame:
+    """(field, row_id, text, page, book, own_titles) of both fields; a book's name and its chapter names that are not
+    ``shared`` are joined by broadcast while they are few. A row without a book has its own chapter name."""
     books = broadcast_if_small(read_table(spark, sf_dir, "books").select("book_id", F.col("book_name").alias("book")))
-    content = read_table(spark, sf_dir, "titled_paragraphs").select(F.lit("content").alias("field"), F.col("para_id").alias("row_id"), F.col("content").alias("text"), F.col("page_number").alias("page"), "book_id")
-    chunks = read_table(spark, sf_dir, "pdf_chunks").select(F.lit("page_content").alias("field"), F.col("chunk_id").alias("row_id"), F.col("page_content").alias("text"), F.col("metadata.page_number").alias("page"), "book_id")
-    return content.unionByName(chunks).where(F.length("text") > 0).join(books, "book_id", "left").select("field", "row_id", "text", "page", "book")
+    content = read_table(spark, sf_dir, "titled_paragraphs").select(F.lit("content").alias("field"), F.col("para_id").alias("row_id"), F.col("content").alias("text"), F.col("page_number").alias("page"), "book_id", F.trim("first_title").alias("own"))
+    chunks = read_table(spark, sf_dir, "pdf_chunks").select(F.lit("page_content").alias("field"), F.col("chunk_id").alias("row_id"), F.col("page_content").alias("text"), F.col("metadata.page_number").alias("page"), "book_id", F.lit(None).cast("string").alias("own"))
+    names = titles_by_book(read_table(spark, sf_dir, "titled_paragraphs"), "first_title", shared)
+    # estimates don't see how few names are left, so they are counted: 64 bytes a book, 16 and its letters a name
+    size = names.agg(F.sum(64 + F.expr("aggregate(own_titles, 0L, (a, x) -> a + 16 + octet_length(x))"))).first()[0] or 0
+    names = F.broadcast(names) if size <= 32 << 20 else names
+    both = content.unionByName(chunks).where(F.length("text") > 0).join(books, "book_id", "left")
+    both = both.join(names, "book_id", "left") if size else both.withColumn("own_titles", F.lit(None).cast("array<string>"))
+    # the row's own chapter name is among its book's, unless it has no book
+    alone = F.when(F.col("book_id").isNull() & F.col("own").isNotNull(), F.array("own"))
+    return both.select("field", "row_id", "text", "page", "book", F.coalesce("own_titles", alone).alias("own_titles"))
 
 
 def _repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = fit_lexicon(long_texts(spark, sf_dir, ("content", "page_content")))
     titles = shared_titles(read_table(spark, sf_dir, "titled_paragraphs"), "first_title")
-    return repair_scans(_pages(spark, sf_dir), lexicon, titles, _garbled_test(_restorer(spark, sf_dir)))
+    return repair_scans(_pages(spark, sf_dir, titles), lexicon, titles, _garbled_test(_restorer(spark, sf_dir)))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -304,7 +304,7 @@ def _first_token(text: str) -> str | None:
 
 @dataclass
 class Repairer:
-    """``titles``: chapter names that many rows share; a book's name and the page come with each row."""
+    """``titles``: chapter names that many rows share; the page, the book's name and its other names come with each row."""
 
     lexicon: Lexicon
     titles: list[str]
@@ -314,11 +314,11 @@ class Repairer:
         names = sorted({t for t in self.titles if len(t) > 1}, key=lambda t: (-len(t), t))
         self.find_titles = re.compile("|".join(re.escape(t) for t in names)) if names else None
 
-    def may_hold_furniture(self, text: str, page: int | None, book: str | None, other_digits: bool) -> bool:
+    def may_hold_furniture(self, text: str, page: int | None, named: tuple[str, ...], other_digits: bool) -> bool:
         """No text in which ``furniture`` finds anything fails this; ``other_digits``: it has digits of another script."""
         if other_digits or (_DIGIT.search(text) if page is None else str(page) in text):
             return True
-        if book and len(book) > 1 and all(w in text for w in book.split(" ")):
+        if any(len(name) > 1 and all(w in text for w in name.split(" ")) for name in named):
             return True
         return bool(self.find_titles and self.find_titles.search(text))
 
@@ -344,8 +344,8 @@ class Repairer:
             return True
         return joined >= 3 and joined > 8 * kept
 
-    def furniture(self, text: str, page: int | None, book: str | None) -> list[tuple[int, int]]:
-        """Spans of running headers, footers and page numbers."""
+    def furniture(self, text: str, page: int | None, *named: str | None) -> list[tuple[int, int]]:
+        """Spans of running headers, footers and page numbers; ``named``: the book's name and chapter names of its own."""
         plain = text
         spans: list[tuple[int, int]] = []
         for m in _PAGE_FORM.finditer(plain):
@@ -353,13 +353,15 @@ class Repairer:
             if page is None or n == page:
                 spans.append(m.span())
         names = [(m.start(), m.end()) for m in self.find_titles.finditer(plain)] if self.find_titles else []
-        if book and len(book) > 1:
-            at = plain.find(book)
+        for name in named:
+            if not name or len(name) < 2:
+                continue
+            at = plain.find(name)
             while at >= 0:
-                names.append((at, at + len(book)))
-                at = plain.find(book, at + len(book))
-            if " " in book:  # its line may have been broken, or its words parted
-                names += [m.span() for m in re.finditer(r"\s+".join(map(re.escape, book.split(" "))), plain)]
+                names.append((at, at + len(name)))
+                at = plain.find(name, at + len(name))
+            if " " in name and all(w in plain for w in name.split(" ")):  # its line may have been broken, or its words parted
+                names += [m.span() for m in re.finditer(r"\s+".join(map(re.escape, name.split(" "))), plain)]
         for start, end in names:
             numbered = False
             before = re.search(r"(?<!\S)(\d{1,5})\s{2,4}\Z", plain[max(0, start - 12) : start])
@@ -394,9 +396,9 @@ class Repairer:
             return True
         return min(a, b) < 20 and right[0].islower() and a < 200
 
-    def repair(self, text: str, page: int | None, book: str | None, misread: list[tuple[int, int, str]]) -> tuple[str, int, int]:
+    def repair(self, text: str, page: int | None, named: tuple[str, ...], misread: list[tuple[int, int, str]]) -> tuple[str, int, int]:
         """(repaired text, broken words, pieces of furniture); ``misread``: spans of the text and what they read."""
-        spans = self.furniture(text, page, book)
+        spans = self.furniture(text, page, *named)
         changes = [(a, b, "\x00" if text[a - 1 : a] == "\n" or text[b : b + 1] == "\n" else " ") for a, b in spans]
         changes += [(a, b, new) for a, b, new in misread if not any(x < b and a < y for x, y in spans)]
         parts, at = [], 0
@@ -509,18 +511,18 @@ def _repairer(shared: object, excluded: Callable[[], Callable[[str, str], bool]]
             look = set((np.searchsorted(starts, spaced, side="right") - 1).tolist()) | set(fixes)
             others = np.zeros(len(starts), bool)
             others[np.searchsorted(starts, np.flatnonzero(_OTHER_DIGITS[np.minimum(points, 0xFFFF)]), side="right") - 1] = True
-            books = [one_form(b) if b else b for b in batch.column(4).to_pylist()]
-            for row, (text, page, book) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), books, strict=True)):
-                if row not in look and repairer.may_hold_furniture(text, page, book, bool(others[row])):
+            named = [tuple(one_form(n) for n in (book, *(own or ())) if n) for book, own in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)]
+            for row, (text, page) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                if row not in look and repairer.may_hold_furniture(text, page, named[row], bool(others[row])):
                     look.add(row)
             if not look:
                 continue
             at = sorted(look)
-            few = batch.take(pa.array(at)).set_column(4, "book", pa.array([books[row] for row in at], pa.string()))
+            few = batch.take(pa.array(at))
             rows = []
             as_stored = stored.column(2).take(pa.array(at)).to_pylist()
-            for row, raw, name, key, text, page, book in zip(at, as_stored, *(few.column(k).to_pylist() for k in range(5)), strict=True):
-                out, broken, spans = repairer.repair(text, page, book, fixes.get(row, []))
+            for row, raw, name, key, text, page in zip(at, as_stored, *(few.column(k).to_pylist() for k in range(4)), strict=True):
+                out, broken, spans = repairer.repair(text, page, named[row], fixes.get(row, []))
                 misread = amount.get(row, 0)
                 if (broken or spans or misread > 1) and not (test is not None and test(name, raw)):
                     rows.append((name, key, out, broken, spans, misread))
@@ -530,17 +532,31 @@ def _repairer(shared: object, excluded: Callable[[], Callable[[str, str], bool]]
 
 
 def shared_titles(titled: DataFrame, column: str, share: float = 0.001) -> list[str]:
-    """Chapter names on at least ``share`` of all rows that have one: at most 1/share names, whatever the input."""
+    """Chapter names on at least ``share`` of all rows that have one: at most 1/share names, whatever the input.
+
+    They are looked for in every row; the others are ``titles_by_book``.
+    """
     counts = titled.where(F.length(F.trim(column)) > 1).groupBy(F.trim(column).alias("title")).count()
     total = counts.agg(F.sum("count")).first()[0] or 0
     return sorted(r["title"] for r in counts.where(F.col("count") >= max(2.0, share * total)).collect())
 
 
+def titles_by_book(titled: DataFrame, column: str, shared: list[str]) -> DataFrame:
+    """(book_id, own_titles): each book's chapter names that are not among ``shared``; no row for a book without any."""
+    name = F.trim(column)
+    rest = titled.select("book_id", name.alias("title")).where((F.length("title") > 1) & F.col("book_id").isNotNull())
+    if shared:
+        rest = rest.where(~F.col("title").isin(shared))
+    return rest.groupBy("book_id").agg(F.sort_array(F.collect_set("title")).alias("own_titles"))
+
+
 def repair_scans(pages: DataFrame, lexicon: Lexicon, titles: list[str], excluded: Callable[[], Callable[[str, str], bool]] | None = None) -> DataFrame:
     """(field, row_id, repaired, broken, furniture, misread) of the noisy rows of (field, row_id, text, page, book).
 
+    A column ``own_titles``, if there is one, has chapter names to look for in that row besides ``titles``.
     ``excluded`` makes a test (field, text) of rows to leave out. One narrow pass.
     """
     shared = pages.sparkSession.sparkContext.broadcast((lexicon.state(), titles))
     pages = pages.where(F.length("text") > 0)
-    return pages.select("field", "row_id", "text", F.col("page").cast("int").alias("page"), "book").mapInArrow(_repairer(shared, excluded), "field string, row_id long, repaired string, broken int, furniture int, misread int")
+    own = F.col("own_titles") if "own_titles" in pages.columns else F.lit(None).cast("array<string>").alias("own_titles")
+    return pages.select("field", "row_id", "text", F.col("page").cast("int").alias("page"), "book", own).mapInArrow(_repairer(shared, excluded), "field string, row_id long, repaired string, broken int, furniture int, misread int")

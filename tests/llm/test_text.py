@@ -14,7 +14,7 @@ from silkmill.llm.batches import run_of_texts
 from silkmill.llm.charmodel import CharModel
 from silkmill.llm.lookalikes import find_lookalikes, quick_form
 from silkmill.llm.mojibake import Restorer, all_chains, find_garbled, fit_restorer, garble
-from silkmill.llm.scanned import Repairer, fit_lexicon, reflow, repair_scans, shared_titles, skip_gram_vectors
+from silkmill.llm.scanned import Repairer, fit_lexicon, reflow, repair_scans, shared_titles, skip_gram_vectors, titles_by_book
 from silkmill.llm.splitting import body_pattern, pieces, read_limits, split_texts
 from silkmill.llm.tokens import texts_of, word_hash
 
@@ -205,6 +205,20 @@ def test_furniture_in_other_forms(spark, scans):
     assert repair_scans(odd_name, lexicon, []).count() == 1
 
 
+def test_rare_chapter_names(spark, scans):
+    lexicon, _ = scans
+    zh = "体重指数大于30kg者发生高血压的风险较高。本例因头痛入院5天，诊断为糖尿病，给予卧床休息后好转。"
+    titled = spark.createDataFrame([(1, "Treatment")] * 3000 + [(1, "罕见章名"), (2, " Rare name "), (None, "No book"), (3, None)], "book_id long, title string")
+    shared = shared_titles(titled, "title")
+    assert shared == ["Treatment"]
+    names = titles_by_book(titled, "title", shared)
+    assert {r["book_id"]: r["own_titles"] for r in names.collect()} == {1: ["罕见章名"], 2: ["Rare name"]}
+    texts = [(1, "罕见章名"), (2, "Rare\nname"), (3, "罕见章名"), (1, "好转")]
+    pages = spark.createDataFrame([("content", i, f"{zh[:10]}\n{line}\n{zh[10:]}", 77, None, book) for i, (book, line) in enumerate(texts)], ROW + ", page int, book string, book_id long").join(names, "book_id", "left")
+    got = {r["row_id"]: r["furniture"] for r in repair_scans(pages, lexicon, shared).collect()}
+    assert got == {0: 1, 1: 1}
+
+
 def test_reflow_and_titles(spark, scans):
     assert reflow("这一行还没有说完就断了\n接着\n\n新段。\n1. 甲\n2. 乙\n体温\n37.6") == "这一行还没有说完就断了接着\n\n新段。\n1. 甲\n2. 乙\n体温\n37.6"
     assert reflow("a longer line\nc d. Each\nf") == "a longer line c d. Each f"
