@@ -17,6 +17,7 @@ import base64
 import heapq
 import os
 import sys
+import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
@@ -47,14 +48,33 @@ def tokenizer(folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> object:
     return kept[key]
 
 
+def _kind(char: str) -> str:
+    """Which class of ``WORD_PATTERN`` a character is of: L, N, S or P; empty where that is not certain."""
+    category = unicodedata.category(char)
+    if char == "'" or category == "Cn" or category == "Cc" and char not in "\t\n\r":
+        return ""  # contractions; characters that other versions of Unicode class differently
+    return "S" if char.isspace() else category[0] if category[0] in "LN" else "P"
+
+
+def _parted(text: str, at: int) -> bool:
+    """A word of ``WORD_PATTERN`` surely ends before ``at``, whether or not the text goes on.
+
+    No word has anything but space before its letters, digits or marks, and none has a space after
+    them; a run of spaces is parted by what follows it, so there is no parting after a space.
+    """
+    before, after = _kind(text[at - 1]), _kind(text[at])
+    return before in ("L", "N", "P") and after != "" and before != after
+
+
 def _pieces(text: str) -> Iterator[str]:
-    """A text in runs of a few thousand characters, parted at line ends or sentence ends, so that no single run is slow."""
+    """A text in runs of a few thousand characters, parted where ``WORD_PATTERN`` parts it, so that no single run is slow
+    and the runs' tokens are those of the whole text. A run goes on to the next such place, however far."""
     at = 0
     while at < len(text):
         end = min(at + 4000, len(text))
         if end < len(text):
-            cut = max(text.rfind("\n", at + 2000, end), text.rfind("。", at + 2000, end), text.rfind(". ", at + 2000, end))
-            end = cut + 1 if cut > 0 else end
+            before = next((k for k in range(end, at, -1) if _parted(text, k)), None)
+            end = before or next((k for k in range(end + 1, len(text)) if _parted(text, k)), len(text))
         yield text[at:end]
         at = end
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from silkmill.llm import near_copies as N
 from silkmill.llm.mixing import mix, quotas, sainte_lague, share_report
-from silkmill.llm.packing import count_tokens, differenced, fill_report, pack, pack_documents, token_count, tokenizer
+from silkmill.llm.packing import _pieces, count_tokens, differenced, fill_report, pack, pack_documents, token_count, tokenizer
 from silkmill.llm.subjects import assign_subjects, fit_subjects, with_labels
 
 
@@ -102,6 +102,20 @@ def test_pack_documents(spark):
     assert abs(token_count(encoder, long) - len(encoder.encode_ordinary(long))) <= 20
 
 
+def test_long_texts_have_the_tokens_of_the_whole():
+    rng = random.Random(10)
+    encoder = tokenizer()
+    parts = ["护理人员", "patient", "'s", "'ll ", " ", "  ", "\n", "\n\n", "\t", "。", ". ", "12", "½", "一", "é", "e\u0301", "!'", "😀", "\xa0", "\u3000", "\x1c", "\u200b", "ǅ", "\r\n"]
+    texts = ["".join(rng.choice(parts) for _ in range(6000)) for _ in range(30)]
+    texts += ["护理" * 4000, "word " * 3000, "abcdefg" * 2000, " " * 9000 + "x", "x" + "\n" * 9000 + "y", "a1" * 5000, "'" * 9000, "一句话。" * 5000, "x, " * 3000]
+    for text in texts:
+        pieces = list(_pieces(text))
+        assert "".join(pieces) == text
+        assert [t for p in pieces for t in encoder.encode_ordinary(p)] == encoder.encode_ordinary(text)
+        assert token_count(encoder, text) == len(encoder.encode_ordinary(text))
+    assert max(map(len, _pieces("word " * 3000))) <= 4000
+
+
 def test_highest_quotients():
     def slow(weights, seats, limits):
         given = [0] * len(weights)
