@@ -8,7 +8,9 @@
    what is left of the quota, blocks in seeded order give each document its number of copies.
 
 The total is the largest at which no source that has documents falls short of its share, unless one
-is given; then sources at their limit leave the rest to the others.
+is given; then sources at their limit leave the rest to the others. Shares are kept to whole blocks:
+a source that doesn't fill a block with all its repeats still has one block of its own, which holds
+all its documents as often as they may be repeated.
 
 Defined results: sources that are not listed, and documents without a source or tokens, are left
 out; listed sources without documents reach a share of 0, and the others share what is left in
@@ -74,6 +76,9 @@ def quotas(sizes: list[tuple[str, int, int]], targets: dict[str, tuple[float, in
     names = [s for s in sorted(by) if targets[s][0] > 0]
     share = [targets[s][0] for s in names]
     limit = [[t * max(0, targets[s][1]) // BLOCK_TOKENS for _, t in by[s]] for s in names]
+    for s, own in zip(names, limit, strict=True):
+        if not any(own) and targets[s][1] > 0:  # less than a block: one of its own, for its largest shard
+            own[max(range(len(own)), key=lambda k: by[s][k][1])] = 1
     most = [sum(x) for x in limit]
     if total_tokens is None:
         fair = [m / (w / sum(share)) for m, w in zip(most, share, strict=True) if m]
@@ -101,7 +106,8 @@ def mix(counted: DataFrame, targets: DataFrame, total_tokens: int | None = None,
     sizes = [(r["source"], r["shard"], r["tokens"]) for r in items.groupBy("source", "shard").agg(F.sum("tokens").alias("tokens")).collect()]
     quota = quotas(sizes, wanted, total_tokens)
     total = {(s, k): t for s, k, t in sizes}
-    plan = spark.createDataFrame([(s, k, int(n * BLOCK_TOKENS), int(total[(s, k)])) for (s, k), n in sorted(quota.blocks.items())] or [("", 0, 0, 1)], "source string, shard int, quota long, whole long")
+    # a source's only block may hold less than a block's tokens: no document goes beyond its repeats
+    plan = spark.createDataFrame([(s, k, int(min(n * BLOCK_TOKENS, total[(s, k)] * max(0, wanted[s][1]))), int(total[(s, k)])) for (s, k), n in sorted(quota.blocks.items())] or [("", 0, 0, 1)], "source string, shard int, quota long, whole long")
     of_shard = Window.partitionBy("source", "shard")
     placed = items.withColumn("start", F.sum("tokens").over(of_shard.orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)))
     placed = placed.withColumn("block", F.floor(F.coalesce("start", F.lit(0)) / BLOCK_TOKENS))

@@ -151,6 +151,19 @@ def test_mixture(spark):
     assert mix(df.where("false"), targets).count() == 0 and mix(df, targets.where("false")).count() == 0
 
 
+def test_source_of_less_than_a_block(spark):
+    docs = [(i, "a", 300) for i in range(400)] + [(1000 + i, "tiny", 30) for i in range(5)] + [(2000, "never", 30)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, tokens long")
+    targets = spark.createDataFrame([("a", 0.9, 2), ("tiny", 0.1, 4), ("never", 0.1, 0)], "source string, target_share double, max_repeats int")
+    for total in (None, 20_480):
+        copies = {}
+        for r in mix(df, targets, total).collect():
+            copies.setdefault(r["source"], []).append(r["copies"])
+        assert set(copies) == {"a", "tiny"} and copies["tiny"] == [4] * 5
+        assert max(copies["a"]) <= 2
+    assert quotas([("a", 0, 10_240), ("b", 0, 100)], {"a": (0.5, 1), "b": (0.5, 3)}, None).blocks == {("a", 0): 1, ("b", 0): 1}
+
+
 SENTENCES = {"medicine": ["患者头痛入院，给予抗生素后好转。", "The patient took tablets against fever. "], "law": ["法院驳回全部诉讼请求。", "The court dismissed the claim on appeal. "], "sport": ["队长在决赛中刷新纪录。", "The striker scored in the final match. "]}
 
 
