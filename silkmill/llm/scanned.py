@@ -219,6 +219,20 @@ class Lexicon:
                 break
         return sorted(found.items())
 
+    def fit_around(self, t: Tokens, at: np.ndarray, read: np.ndarray) -> np.ndarray:
+        """False for the words at the tokens ``at`` that are likelier beside their neighbours as they are than read as those
+        with the hashes ``read``, by ``ODDS`` and with this occurrence left out: a rare word that belongs there stays."""
+        fixed = t.hash.copy()
+        fixed[at] = read
+        before, after = np.maximum(at - 1, 0), np.minimum(at + 1, len(fixed) - 1)
+        has_before = (before < at) & (t.row[before] == t.row[at])
+        has_after = (after > at) & (t.row[after] == t.row[at])
+        now_left = np.where(has_before, np.maximum(self.pairs(t.hash[before], t.hash[at]) - 1, 0), 0.0)
+        now_right = np.where(has_after, np.maximum(self.pairs(t.hash[at], t.hash[after]) - 1, 0), 0.0)
+        then_left = np.where(has_before, self.pairs(fixed[before], fixed[at]), 0.0)
+        then_right = np.where(has_after, self.pairs(fixed[at], fixed[after]), 0.0)
+        return np.log((then_left + 0.5) * (then_right + 0.5)) + ODDS >= np.log((now_left + 0.5) * (now_right + 0.5))
+
     def reading(self, word: str) -> tuple[str, int] | None:
         """The frequent word that a rare one was misread from, and the number of misread characters; None: it stands."""
         if word not in self.cache:
@@ -502,10 +516,16 @@ def _repairer(shared: object, excluded: Callable[[], Callable[[str, str], bool]]
                 if (new := lexicon.reading(word)) is not None:
                     read[h] = word
             if read:
+                linked = []
                 for i in rare[np.isin(t.hash[rare], np.array(list(read), np.uint64))]:
                     word = points[t.start[i] : t.end[i]].tobytes().decode("utf-32-le")
                     if (new := lexicon.reading(word)) is not None:
-                        note(int(i), *new)
+                        linked.append((int(i), *new))
+                if linked:
+                    fit = lexicon.fit_around(t, np.array([i for i, _, _ in linked]), np.array([word_hash(new) for _, new, _ in linked], np.uint64))
+                    for link, fits in zip(linked, fit, strict=True):
+                        if fits:
+                            note(*link)
             marks = np.flatnonzero(np.isin(points, np.array([ord(c) for c in "-¬‐­"], np.uint32)))
             spaced = marks[(marks + 1 < len(points)) & np.isin(points[np.minimum(marks + 1, len(points) - 1)], np.array([32, 10, 13], np.uint32))]
             look = set((np.searchsorted(starts, spaced, side="right") - 1).tolist()) | set(fixes)

@@ -219,6 +219,14 @@ def test_rare_chapter_names(spark, scans):
     assert got == {0: 1, 1: 1}
 
 
+def test_rare_latin_word_stays_where_it_belongs(spark):
+    texts = ["All patients eat well."] * 400 + ["After a cat bite."] * 5
+    lexicon = fit_lexicon(spark.createDataFrame([(t,) for t in texts], "text string"))
+    rows = [("content", 1, "After a cat bite. After a cat bite.", None, None), ("content", 2, "All patients cat well. All patients cat well.", None, None)]
+    got = {r["row_id"]: r["repaired"] for r in repair_scans(spark.createDataFrame(rows, ROW + ", page int, book string"), lexicon, []).collect()}
+    assert got == {2: "All patients eat well. All patients eat well."}
+
+
 def test_reflow_and_titles(spark, scans):
     assert reflow("这一行还没有说完就断了\n接着\n\n新段。\n1. 甲\n2. 乙\n体温\n37.6") == "这一行还没有说完就断了接着\n\n新段。\n1. 甲\n2. 乙\n体温\n37.6"
     assert reflow("a longer line\nc d. Each\nf") == "a longer line c d. Each f"
