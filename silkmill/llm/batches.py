@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -52,3 +54,24 @@ def run_of_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     starts = np.zeros(len(raw) + 1, np.int64)
     np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80, out=starts[1:])
     return points, starts[at - at[0]]
+
+
+def regrouped(batches: Iterable[pa.RecordBatch], rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, and of ``size`` bytes or little more unless a single row is larger."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+
+    def out() -> pa.RecordBatch:
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for whole in batches:
+        step = max(1, min(rows, whole.num_rows, int(whole.num_rows * size / max(whole.nbytes, 1)) or 1))
+        for at in range(0, whole.num_rows, step):
+            part = whole.slice(at, step)
+            if held and (n + part.num_rows > rows or sum(b.nbytes for b in held) + part.nbytes > size):
+                yield out()
+                held, n = [], 0
+            held.append(part)
+            n += part.num_rows
+    if n:
+        yield out()

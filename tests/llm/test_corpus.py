@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,8 +30,7 @@ def brute(texts, t=0.6):
 
 
 @pytest.mark.parametrize("group", [N.GROUP, 24])
-def test_pairs_against_brute_force(spark, monkeypatch, group):
-    monkeypatch.setattr(N, "GROUP", group)
+def test_pairs_against_brute_force(spark, group):
     rng = random.Random(4)
     words = ["".join(rng.choice("abcdefgh护理人员观察") for _ in range(5)) for _ in range(60)]
     texts = []
@@ -43,7 +44,7 @@ def test_pairs_against_brute_force(spark, monkeypatch, group):
     texts += [(1000 + k, texts[0][1].upper()) for k in range(30)] + [(2000, None), (2001, ""), (2002, "ab"), (2003, "ab"), (2004, "！？"), (2005, "x" * 20_000), (2006, "x" * 20_001), texts[3]]
     rows = [("q", i, t) for i, t in texts] + [("question", 1, texts[0][1])]
     df = spark.createDataFrame(rows, "field string, id long, text string").selectExpr("*", "0 AS rep", "1 AS key")
-    members, links = N.near_copies(df, ("q", "question"))
+    members, links = N.near_copies(df, ("q", "question"), group=group)
     got = [tuple(r) for r in N.all_pairs(members, links).collect()]
     assert len(got) == len(set(got)) and all(f == "q" for f, _, _ in got)
     assert {(a, b) for _, a, b in got} == brute([(i, t) for i, t in texts])
@@ -51,6 +52,37 @@ def test_pairs_against_brute_force(spark, monkeypatch, group):
     assert classes[1000][0] == 0 and classes[2005][0] == classes[2005][0] and 2000 not in classes
 
 
+@pytest.mark.parametrize("group", [N.GROUP, 24])
+def test_signature_trees(group, monkeypatch):
+    """Every candidate leaves a traversal, no similar pair is lost, and trees spare most comparisons."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh护理人员观察") for _ in range(5)) for _ in range(300)]
+    texts = ["".join(rng.choice(words) for _ in range(rng.randint(1, 40))) for _ in range(600)]
+    texts += [t[:-2] + "zz" for t in texts[::3]] + ["的确如此" + t for t in texts[1::4]]
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * len(texts), pa.int32()), pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["f", "rep", "text"])
+    tables = [np.zeros(1 << N.DF_BITS, np.int64) for _ in range(2)]
+    N._count(batch.column(2), tables)
+    rows = pa.Table.from_batches([N.routes(batch, tables, 0.6, group)]).sort_by([("key", "ascending"), ("slot", "ascending")])
+    fields, forest = N.forest_of(rows, 0.6)
+    found = {tuple(p) for p in forest.pairs().tolist()}
+    want = brute(list(enumerate(texts)))
+    assert len(want) > 200 and want <= found and set(fields) == {0}
+    sizes = rows.group_by(["key", "slot"]).aggregate([("n", "sum")]).column("n_sum").to_pylist()
+    assert min(sizes) <= 2 and max(sizes) > 16  # small groups and large ones are trees alike
+    whole = sum(-(-n // N.FAN) * (-(-n // N.FAN) + 1) // 2 * N.FAN**2 for n in sizes)
+    assert 0 < forest.met < whole
+    _, at = np.unique(np.concatenate([np.frombuffer(x, N.SIGNATURE)["rep"] for x in rows.column("texts").to_pylist()]), return_index=True)
+    one = np.concatenate([np.frombuffer(x, N.SIGNATURE) for x in rows.column("texts").to_pylist()])[at].copy()
+    one["pos"] = 0
+    none = np.zeros(len(one), np.int64)
+    tree = N.Forest(one, none, np.zeros(1, bool), none, 0.6)
+    assert want <= {tuple(p) for p in tree.pairs().tolist()} and tree.met < 0.5 * len(one) ** 2 / 2 and len(tree.levels) > 2
+    ids = pa.array([a for a, _ in found]), pa.array([b for _, b in found])
+    assert {p for p, ok in zip(found, N.reach(batch.column(2).take(ids[0]), batch.column(2).take(ids[1]), 0.6), strict=True) if ok} == want
+    monkeypatch.setattr(N.Forest, "_leaves", lambda self, a, b: np.zeros((0, 2), np.int64))
+    assert sum(b.num_rows for b in N._traverser(0.6)(rows.to_batches())) == 0
+
+
 def test_no_questions(spark):
     empty = spark.createDataFrame([], "field string, id long, text string")
     members, links = N.near_copies(empty, ("q",))
