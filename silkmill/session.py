@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -38,7 +38,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def few_rows(df: DataFrame, most: int, what: str) -> list[Row]:
+    """All rows of a table that is small by its nature, such as settings; more than ``most`` fail, none are dropped."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} {what}")
+    return rows
+
+
 def broadcast_if_small(df: DataFrame, limit_bytes: int = 32 << 20) -> DataFrame:
-    """``df`` marked for a broadcast join if its estimated size is at most ``limit_bytes``; beyond, it is joined by a shuffle."""
+    """``df`` marked for a broadcast join if its estimated size is at most ``limit_bytes``; beyond, it is joined by a shuffle.
+
+    The estimate of a scan comes from the size of its files, which are compressed: memory may be a few times as much.
+    """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return F.broadcast(df) if size <= limit_bytes else df
