@@ -25,10 +25,12 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from silkmill.session import broadcast_if_small
+from silkmill.session import broadcast_if_small, few_rows
 
 #: Tokens of a block, blocks per shard at least, and shards of a source at most.
 BLOCK_TOKENS, SHARD_BLOCKS, SHARDS = 1024, 256, 2048
+#: Listed sources, at most: more fail.
+SOURCES = 100_000
 
 
 def sainte_lague(weights: list[float], seats: int, limits: list[int]) -> list[int]:
@@ -95,7 +97,7 @@ def quotas(sizes: list[tuple[str, int, int]], targets: dict[str, tuple[float, in
 def mix(counted: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 17) -> DataFrame:
     """(doc_id, source, tokens, copies) of the mixture's documents, from (doc_id, source, tokens)."""
     spark = counted.sparkSession
-    wanted = {r["source"]: (float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in targets.limit(100_000).collect() if r["source"] is not None}
+    wanted = {r["source"]: (float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in few_rows(targets, SOURCES, "sources") if r["source"] is not None}
     items = counted.select("doc_id", "source", "tokens").where(F.col("source").isNotNull() & (F.col("tokens") > 0)).dropDuplicates(["doc_id"])
     listed = spark.createDataFrame([(s,) for s in sorted(wanted)] or [("",)], "source string")
     items = items.join(broadcast_if_small(listed), "source", "left_semi")

@@ -4,8 +4,8 @@ Documents are spread over shards of bounded size, and each shard is packed on it
 the capacity is cut into full containers and a rest; rests and whole texts are divided into equally
 full windows by Karmarkar-Karp multiway differencing: partial partitions are kept as vectors of
 window sums, the two with the greatest imbalance are merged with the fullest windows of the one
-meeting the emptiest of the other, until one is left. The number of windows starts at the least
-possible and rises whenever a window exceeds the capacity.
+meeting the emptiest of the other, until one is left. The number of windows starts at a bound below
+which none can do and rises whenever windows exceed the capacity, by as many as what is above would fill, one at least.
 
 Defined results: null and empty texts (no tokens) are left out; repeated ids count once; every other
 text is in exactly one container unless it exceeds the capacity; positions are token offsets.
@@ -14,6 +14,7 @@ text is in exactly one container unless it exceeds the capacity; positions are t
 from __future__ import annotations
 
 import base64
+import bisect
 import heapq
 import os
 import sys
@@ -103,30 +104,55 @@ def count_tokens(documents: DataFrame, keep: tuple[str, ...] = (), folder: str |
 
 def differenced(sizes: list[int], k: int) -> list[list[int]]:
     """Indexes of ``sizes`` in ``k`` parts of nearly equal sum, by multiway differencing. Ties go by index."""
-    # a partial partition: (sum, items) of the windows that hold anything, the fullest first; the others are empty
-    heap = [(-s, i, [(s, [i])]) for i, s in enumerate(sizes)]
+    # a partial partition: (-sum, first item, node) of the windows that hold anything, the fullest first; the others are empty
+    heap = [(-s, i, [(-s, i, i)]) for i, s in enumerate(sizes)]
     heapq.heapify(heap)
-    serial = len(sizes)
+    items = serial = len(sizes)
+    joined: list[tuple[int, int]] = []  # node items + n holds the items of both
     while len(heap) > 1:
         _, _, a = heapq.heappop(heap)
         _, _, b = heapq.heappop(heap)
         free = k - len(a)
         # the fullest windows of b meet the emptiest of a: empty ones first, then from the end
-        merged = list(a)
-        for n, (s, items) in enumerate(b):
-            if n < free:
-                merged.append((s, items))
-            else:
-                at = len(a) - 1 - (n - free)
-                merged[at] = (merged[at][0] + s, merged[at][1] + items)
-        merged.sort(key=lambda w: (-w[0], w[1][0]))
+        merged = a + b[:free]
+        for at, (s, _, node) in zip(range(len(a) - 1, -1, -1), b[free:], strict=False):
+            t, first, own = merged[at]
+            merged[at] = (t + s, first, items + len(joined))
+            joined.append((own, node))
+        merged.sort()
         least = merged[-1][0] if len(merged) == k else 0
         serial += 1
-        heapq.heappush(heap, (-(merged[0][0] - least), serial, merged))
-    parts = [items for _, items in heap[0][2]] if heap else []
+        heapq.heappush(heap, (merged[0][0] - least, serial, merged))
+    parts = []
+    for _, _, node in heap[0][2] if heap else []:
+        out, stack = [], [node]
+        while stack:
+            x = stack.pop()
+            if x < items:
+                out.append(x)
+            else:
+                stack += reversed(joined[x - items])
+        parts.append(out)
     return parts + [[] for _ in range(k - len(parts))]
 
 
+def least_windows(sizes: list[int], capacity: int) -> int:
+    """No fewer windows can hold the items: those above half the capacity need one each, and what doesn't fit beside them more."""
+    ordered = sorted(sizes, reverse=True)
+    before = [0]
+    for s in ordered:
+        before.append(before[-1] + s)
+    small = [-s for s in ordered]
+    over = bisect.bisect_left(small, -(capacity // 2))  # items above half the capacity
+    most = max(over, -(-before[-1] // capacity))
+    for least in sorted({s for s in ordered[over:]}):
+        alone = bisect.bisect_left(small, -(capacity - least))  # beside these nothing of ``least`` or more fits
+        fit = bisect.bisect_right(small, -least)
+        room = (over - min(alone, over)) * capacity - (before[over] - before[min(alone, over)])
+        most = max(most, over + max(0, -(-(before[fit] - before[over] - room) // capacity)))
+    return most
+
+
 def pack(items: list[tuple[int, int]], capacity: int) -> list[list[tuple[int, int, int]]]:
     """Containers of (id, start, end) token spans for (id, tokens) items; none exceeds the capacity."""
     full: list[list[tuple[int, int, int]]] = []
@@ -142,12 +168,13 @@ def pack(items: list[tuple[int, int]], capacity: int) -> list[list[tuple[int, in
     for begin in range(0, len(rest), BLOCK):
         block = rest[begin : begin + BLOCK]
         sizes = [b - a for _, a, b in block]
-        k = -(-sum(sizes) // capacity)
+        k = least_windows(sizes, capacity)
         while True:
             parts = differenced(sizes, k)
-            if all(sum(sizes[i] for i in p) <= capacity for p in parts):
+            above = sum(max(0, sum(sizes[i] for i in p) - capacity) for p in parts)
+            if not above:
                 break
-            k += 1
+            k += max(1, above // capacity)
         out = out + [[block[i] for i in sorted(p)] for p in parts if p]
     return out
 

@@ -16,7 +16,7 @@ from silkmill.llm.packing import count_tokens, fill_report, pack_documents
 from silkmill.llm.scanned import fit_lexicon, repair_scans, shared_titles, titles_by_book
 from silkmill.llm.splitting import read_limits, split_texts
 from silkmill.llm.subjects import assign_subjects, fit_subjects, with_labels
-from silkmill.session import broadcast_if_small, cut, read_table
+from silkmill.session import broadcast_if_small, cut, few_rows, read_table
 
 
 def _restorer(spark: SparkSession, sf_dir: str):
@@ -121,7 +121,7 @@ def p6_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _capacities(spark: SparkSession, sf_dir: str) -> dict[str, int]:
-    rows = read_table(spark, sf_dir, "pack_capacities").limit(1000).collect()
+    rows = few_rows(read_table(spark, sf_dir, "pack_capacities"), 1000, "capacities")
     return {r["capacity_name"]: int(r["capacity_tokens"]) for r in rows if r["capacity_name"] is not None and (r["capacity_tokens"] or 0) > 0}
 
 
@@ -151,7 +151,7 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
-    codes = sorted(r[0] for r in read_table(spark, sf_dir, "subject_areas").select("subject_code").distinct().limit(1000).collect() if r[0])
+    codes = sorted(r[0] for r in few_rows(read_table(spark, sf_dir, "subject_areas").select("subject_code").distinct(), 1000, "subjects") if r[0])
     model = fit_subjects(with_labels(documents, read_table(spark, sf_dir, "subject_labels")), codes)
     return assign_subjects(documents, model)
 

@@ -16,6 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from silkmill.session import few_rows
+
+#: Fields that can have limits.
+FIELDS = 1000
 # What ends a piece well, strongest first. Each ends with one character, the last of the body.
 BOUNDARIES = (
     r"\n\s{0,3}\n",
@@ -68,5 +72,5 @@ def split_texts(texts: DataFrame, limits: dict[str, tuple[int, int]], *, only_ov
 
 def read_limits(limits: DataFrame) -> dict[str, tuple[int, int]]:
     """field -> (max_chars, overlap_chars); one row per field, so it is small by construction."""
-    rows = limits.select("field", "max_chars", "overlap_chars").distinct().limit(1000).collect()
+    rows = few_rows(limits.select("field", "max_chars", "overlap_chars").distinct(), FIELDS, "limits of fields")
     return {r["field"]: (r["max_chars"], r["overlap_chars"]) for r in rows if None not in (r["field"], r["max_chars"], r["overlap_chars"])}

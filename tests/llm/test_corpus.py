@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from silkmill.llm import near_copies as N
 from silkmill.llm.mixing import mix, quotas, sainte_lague, share_report
-from silkmill.llm.packing import _pieces, count_tokens, differenced, fill_report, pack, pack_documents, token_count, tokenizer
+from silkmill.llm.packing import _pieces, count_tokens, differenced, fill_report, least_windows, pack, pack_documents, token_count, tokenizer
+from silkmill.llm.splitting import read_limits
 from silkmill.llm.subjects import assign_subjects, fit_subjects, with_labels
 
 
@@ -83,6 +84,13 @@ def test_signature_trees(group, monkeypatch):
     assert sum(b.num_rows for b in N._traverser(0.6)(rows.to_batches())) == 0
 
 
+def test_settings_are_never_cut(spark):
+    many = spark.range(1001).selectExpr("CAST(id AS string) AS field", "10 AS max_chars", "2 AS overlap_chars")
+    assert len(read_limits(many.limit(1000))) == 1000
+    with pytest.raises(ValueError, match="more than 1000"):
+        read_limits(many)
+
+
 def test_no_questions(spark):
     empty = spark.createDataFrame([], "field string, id long, text string")
     members, links = N.near_copies(empty, ("q",))
@@ -104,6 +112,8 @@ def test_differencing_and_packing():
             own = [(a, b) for j, a, b in spans if j == i]
             assert own[0][0] == 0 and own[-1][1] == n and all(x[1] == y[0] for x, y in zip(own, own[1:], strict=False))
             assert len(own) == 1 or n > 100
+        assert least_windows(sizes, 100) <= len(pack(list(enumerate(sizes)), 100))
+    assert least_windows([], 9) == 0 and least_windows([6, 6, 6], 10) == 3 and least_windows([7, 7, 4, 4], 10) == 3
     sums = sorted(sum([8, 7, 6, 5, 4][i] for i in p) for p in differenced([8, 7, 6, 5, 4], 2))
     assert sums == [14, 16]
     assert pack([], 10) == [] and pack([(1, 0)], 10) == []
