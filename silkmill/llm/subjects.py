@@ -2,13 +2,14 @@
 
 A text is the mean of the embeddings of its features: Latin words and pairs of ideographs as words,
 letter trigrams and single ideographs as subwords, all hashed. One logistic output per subject says
-whether it is there. All parameters are learnt from the labelled documents: in each round every
-partition computes the gradient of its documents, the gradients are summed, and one step is taken
-for all. The model is fitted on the labelled documents as wholes, then twice on their sentences,
-each taken for the subject that the model before gives it, with odds for its document's labels; so a
-label on a document of two subjects, a passing mention and a wrong label don't colour the words of
-other sentences. Every document is scored sentence by sentence, each sentence goes to the subject with the greatest positive output, and
-a subject is assigned if its sentences take up at least ``share`` of the text.
+whether it is there, whatever the others say. All parameters are learnt from the labelled documents:
+in each round every partition computes the gradient of a part of its documents, the parts in turn;
+the gradients are summed on the executors, and one step is taken for all. The model is fitted on the
+labelled documents as wholes, then twice on their sentences, each taken for the subjects that the
+model before gives it, with odds for its document's labels; so a label on a document of two subjects,
+a passing mention and a wrong label don't colour the words of other sentences. Every document is
+scored sentence by sentence, a sentence counts for every subject with a positive output, and a
+subject is assigned if its sentences take up at least ``share`` of the text.
 
 Defined results: null, blank and unlabelled-language texts get no subject unless a sentence scores;
 a document with several labels by one or more annotators learns their mean; repeated rows give
@@ -25,15 +26,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silkmill.llm.batches import run_of_texts
+from silkmill.llm.batches import regrouped, run_of_texts
 from silkmill.llm.tokens import bucket, pair_hash, tokenize
 from silkmill.session import cut
 
 FEATURE_BITS, DIM = 16, 16
+#: Texts of a slice, parts of the texts that steps take in turn, and features per block of a gradient.
+SLICE, STRIPES, BLOCK = 500, 2, 4096
 #: Labelled documents that the model is fitted on, at most; and the partitions that share them.
 LABELLED, PARTITIONS = 20_000, 8
-#: Weight decay, and how much likelier (logarithm of the odds) a document's label makes a sentence's subject.
-DECAY, LABEL_ODDS = 0.02, 2.0
+#: Weight decay; how much likelier (logarithm of the odds) a label of the document makes a sentence's subject; length of a step.
+DECAY, LABEL_ODDS, RATE = 0.02, 2.0, 0.3
 #: Code points scored at a time.
 CHUNK = 250_000
 
@@ -58,7 +61,7 @@ def features(points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     return at, bucket(hashes, FEATURE_BITS)
 
 
-_SLICE = "n int, docs binary, ids binary, weights binary, targets binary"
+_SLICE = "stripe int, n int, docs binary, uses binary, ids binary, weights binary, targets binary"
 
 
 def _label_matrix(batch: pa.RecordBatch, codes: list[str]) -> np.ndarray:
@@ -71,67 +74,82 @@ def _label_matrix(batch: pa.RecordBatch, codes: list[str]) -> np.ndarray:
 
 
 def _slicer(codes: list[str], shared: object | None) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(text, codes, weights) to slices of texts as sparse feature means with their targets.
+    """(text, codes, weights) to slices of texts as sparse feature means with their targets: ``ids`` are a slice's features,
+    ``uses`` says which of them a text of ``docs`` holds, with its weight in the mean. A text is in one of ``STRIPES``.
 
     With a model in ``shared`` the texts are the sentences of the documents, and their targets what it gives them.
     """
+    kinds = pa.schema([("stripe", pa.int32()), ("n", pa.int32()), *((c, pa.binary()) for c in ("docs", "uses", "ids", "weights", "targets"))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for begin in range(0, whole.num_rows, 500):
-                batch = whole.slice(begin, 500)
-                points, starts = run_of_texts(batch.column(0))
-                targets = _label_matrix(batch, codes)
-                at, ids = features(points, starts)
-                if shared is not None:
-                    table, bias = shared.value
-                    cuts = sentences(points, starts)
-                    scores, _ = _sentence_scores(at, ids, cuts, table, bias)
-                    labels = targets[np.searchsorted(starts, cuts, side="right") - 1]
-                    best = (scores + LABEL_ODDS * (2 * labels - 1)).argmax(axis=1)
-                    targets = np.zeros_like(scores, dtype=np.float32)
-                    sure = scores[np.arange(len(cuts)), best] > 0
-                    targets[np.flatnonzero(sure), best[sure]] = 1
-                    starts = np.append(cuts, len(points))
-                n = len(targets)
-                doc = np.searchsorted(starts, at, side="right") - 1
-                joint, count = np.unique(doc * (1 << FEATURE_BITS) + ids, return_counts=True)
-                doc, ids = joint >> FEATURE_BITS, joint & ((1 << FEATURE_BITS) - 1)
-                weights = count / np.bincount(doc, count, minlength=n)[doc]
-                yield pa.RecordBatch.from_pylist([{"n": n, "docs": doc.astype(np.int32).tobytes(), "ids": ids.astype(np.int32).tobytes(), "weights": weights.astype(np.float32).tobytes(), "targets": targets.tobytes()}], schema=pa.schema([("n", pa.int32()), *((c, pa.binary()) for c in ("docs", "ids", "weights", "targets"))]))
+        for batch in regrouped(batches, SLICE, 8 << 20):
+            points, starts = run_of_texts(batch.column(0))
+            targets = _label_matrix(batch, codes)
+            at, ids = features(points, starts)
+            if shared is not None:
+                table, bias = shared.value
+                cuts = sentences(points, starts)
+                scores, _ = _sentence_scores(at, ids, cuts, table, bias)
+                labels = targets[np.searchsorted(starts, cuts, side="right") - 1]
+                # each subject by itself: a label makes it likelier, the lack of one less likely
+                targets = (scores > np.maximum(0, LABEL_ODDS * (1 - 2 * labels))).astype(np.float32)
+                starts = np.append(cuts, len(points))
+            doc = np.searchsorted(starts, at, side="right") - 1
+            joint, count = np.unique(doc * (1 << FEATURE_BITS) + ids, return_counts=True)
+            doc, ids = joint >> FEATURE_BITS, joint & ((1 << FEATURE_BITS) - 1)
+            weights = (count / np.bincount(doc, count, minlength=len(targets))[doc]).astype(np.float32)
+            rows = []
+            for stripe in range(STRIPES):
+                mine = doc % STRIPES == stripe
+                own, uses = np.unique(ids[mine], return_inverse=True)
+                part = targets[stripe::STRIPES]
+                if len(part):
+                    rows.append({"stripe": stripe, "n": len(part), "docs": (doc[mine] // STRIPES).astype(np.int32).tobytes(), "uses": uses.astype(np.int32).tobytes(), "ids": own.astype(np.int32).tobytes(), "weights": weights[mine].tobytes(), "targets": part.tobytes()})
+            yield pa.RecordBatch.from_pylist(rows, schema=kinds)
 
     return run
 
 
+_GRADIENT = "block int, n long, loss double, grads binary"
+
+
 def _gradient(shared: object, outputs: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The summed gradient of a partition's documents, one row."""
+    """The summed gradient of a partition's texts by what a feature adds to each output, a row per block of features; the
+    biases' gradient is block -1."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        embeddings, out, bias = shared.value
-        columns = np.ascontiguousarray(embeddings.T)  # a dimension at a time: each fits the cache
-        d_columns, d_out, d_bias, total, loss = np.zeros_like(columns), np.zeros_like(out), np.zeros_like(bias), 0, 0.0
+        table, bias = shared.value
+        total, d_bias, n_all, loss = np.zeros((len(table), outputs), np.float32), np.zeros(outputs, np.float32), 0, 0.0
         for batch in batches:
             for row in batch.to_pylist():
                 n = row["n"]
-                doc, ids = np.frombuffer(row["docs"], np.int32), np.frombuffer(row["ids"], np.int32)
+                doc, uses, ids = (np.frombuffer(row[c], np.int32) for c in ("docs", "uses", "ids"))
                 w, targets = np.frombuffer(row["weights"], np.float32), np.frombuffer(row["targets"], np.float32).reshape(n, outputs)
-                mean = np.stack([np.bincount(doc, column[ids] * w, minlength=n) for column in columns], axis=1)
-                p = 1.0 / (1.0 + np.exp(-(mean @ out + bias)))
+                # an output at a time: a column of the slice's own features fits the cache
+                out = np.stack([np.bincount(doc, column[uses] * w, minlength=n) for column in np.ascontiguousarray(table[ids].T)], axis=1) + bias
+                p = 1.0 / (1.0 + np.exp(-out))
                 loss -= float((targets * np.log(p + 1e-7) + (1 - targets) * np.log(1 - p + 1e-7)).sum())
                 error = p - targets
-                d_out += (mean.T @ error).astype(np.float32)
                 d_bias += error.sum(axis=0).astype(np.float32)
-                back = np.ascontiguousarray((error @ out.T).T.astype(np.float32))
-                for k, column in enumerate(back):
-                    d_columns[k] += np.bincount(ids, column[doc] * w, minlength=len(embeddings))
-                total += n
-        d_embeddings = np.ascontiguousarray(d_columns.T)
-        touched = np.flatnonzero(np.abs(d_embeddings).sum(axis=1)).astype(np.int32)
-        yield pa.RecordBatch.from_pylist([{"n": total, "loss": loss, "rows": touched.tobytes(), "grads": d_embeddings[touched].tobytes(), "rest": np.concatenate([d_out.ravel(), d_bias]).astype(np.float32).tobytes()}], schema=pa.schema([("n", pa.int32()), ("loss", pa.float64()), ("rows", pa.binary()), ("grads", pa.binary()), ("rest", pa.binary())]))
+                total[ids] += np.stack([np.bincount(uses, column[doc] * w, minlength=len(ids)) for column in np.ascontiguousarray(error.T.astype(np.float32))], axis=1)
+                n_all += n
+        rows = [{"block": -1, "n": n_all, "loss": loss, "grads": d_bias.tobytes()}]
+        rows += [{"block": k, "n": 0, "loss": 0.0, "grads": total[k * BLOCK : (k + 1) * BLOCK].tobytes()} for k in range(len(table) // BLOCK)]
+        yield pa.RecordBatch.from_pylist(rows, schema=_GRADIENT_ROWS)
 
     return run
 
 
+_GRADIENT_ROWS = pa.schema([("block", pa.int32()), ("n", pa.int64()), ("loss", pa.float64()), ("grads", pa.binary())])
+
+
+def _summed(key: tuple, parts: pa.Table) -> pa.Table:
+    """All partitions' gradients of one block."""
+    grads = np.sum([np.frombuffer(g, np.float32) for g in parts.column("grads").to_pylist()], axis=0, dtype=np.float32)
+    sums = {c: sum(parts.column(c).to_pylist()) for c in ("n", "loss")}
+    return pa.Table.from_pylist([{"block": key[0].as_py(), **sums, "grads": grads.tobytes()}], schema=_GRADIENT_ROWS)
+
+
 @dataclass
 class SubjectModel:
     """``table``: what one occurrence of each feature adds to each subject's output, before the mean is taken."""
@@ -143,7 +161,12 @@ class SubjectModel:
 
 
 def _descend(slices: DataFrame, outputs: int, rounds: int, seed: int) -> tuple[list[np.ndarray], list[float]]:
-    """Synchronous gradient descent: every partition's gradient goes into every step. Embeddings, outputs, biases; losses."""
+    """Synchronous gradient descent: in each step one stripe of every partition's texts. Embeddings, outputs, biases; losses.
+
+    An output is linear in the embeddings' products with the output weights, so those products are
+    all that partitions need and all whose gradient they give; it is summed block by block on the
+    executors, and the driver derives from it the gradients of embeddings and weights.
+    """
     rng = np.random.default_rng(seed)
     parameters = [
         rng.normal(0, 0.05, (1 << FEATURE_BITS, DIM)).astype(np.float32),
@@ -152,32 +175,30 @@ def _descend(slices: DataFrame, outputs: int, rounds: int, seed: int) -> tuple[l
     ]
     first = [np.zeros_like(x) for x in parameters]
     second = [np.zeros_like(x) for x in parameters]
-    losses = []
+    losses: list[float] = []
     context = slices.sparkSession.sparkContext
     for step in range(1, rounds + 1):
-        shared = context.broadcast(tuple(parameters))
-        parts = slices.mapInArrow(_gradient(shared, outputs), "n int, loss double, rows binary, grads binary, rest binary").collect()
+        embeddings, out, bias = parameters
+        shared = context.broadcast(((embeddings @ out).astype(np.float32), bias))
+        stripe = slices.where(F.col("stripe") == step % STRIPES)
+        summed = stripe.mapInArrow(_gradient(shared, outputs), _GRADIENT).groupBy("block").applyInArrow(_summed, _GRADIENT).collect()
         shared.destroy()
-        n = sum(p["n"] for p in parts)
-        if not n:
-            break
-        grads = [np.zeros_like(x) for x in parameters]
-        for p in parts:
-            grads[0][np.frombuffer(p["rows"], np.int32)] += np.frombuffer(p["grads"], np.float32).reshape(-1, DIM)
-            rest = np.frombuffer(p["rest"], np.float32)
-            grads[1] += rest[:-outputs].reshape(DIM, -1)
-            grads[2] += rest[-outputs:]
-        losses.append(sum(p["loss"] for p in parts) / n)
-        rate = 0.15 * min(1.0, (rounds + 1 - step) / (0.4 * rounds))
-        for x, g, m, v, decay in zip(parameters, grads, first, second, (DECAY, DECAY, 0.0), strict=True):
-            g = g / n
-            m += 0.1 * (g - m)
-            v += 0.05 * (g * g - v)
-            x -= rate * ((m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.95**step)) + 1e-6) + decay * x)
+        n = sum(r["n"] for r in summed)
+        if n:
+            by_block = {r["block"]: np.frombuffer(r["grads"], np.float32) for r in summed}
+            of_table = np.concatenate([by_block[k] for k in range((1 << FEATURE_BITS) // BLOCK)]).reshape(-1, outputs)
+            grads = [of_table @ out.T, embeddings.T @ of_table, by_block[-1]]
+            losses.append(sum(r["loss"] for r in summed) / n)
+            rate = RATE * min(1.0, (rounds + 1 - step) / (0.4 * rounds))
+            for x, g, m, v, decay in zip(parameters, grads, first, second, (DECAY, DECAY, 0.0), strict=True):
+                g = g / n
+                m += 0.1 * (g - m)
+                v += 0.05 * (g * g - v)
+                x -= rate * ((m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.95**step)) + 1e-6) + decay * x)
     return parameters, losses
 
 
-def fit_subjects(labelled: DataFrame, codes: list[str], rounds: tuple[int, ...] = (30, 20, 20), limit: int = LABELLED, seed: int = 3) -> SubjectModel:
+def fit_subjects(labelled: DataFrame, codes: list[str], rounds: tuple[int, ...] = (16, 12, 12), limit: int = LABELLED, seed: int = 3) -> SubjectModel:
     """From (doc_id, text, codes array, weights array), at most ``limit`` documents, taken by the hash of their id."""
     # ids are chosen first, so that no more than ``limit`` ids, and no texts, are sorted or broadcast
     ids = labelled.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
@@ -230,11 +251,10 @@ def shares(points: np.ndarray, starts: np.ndarray, table: np.ndarray, bias: np.n
     if not len(cuts):
         return out
     scores, _ = _sentence_scores(*features(points, starts), cuts, table, bias)
-    best = scores.argmax(axis=1)
     length = np.diff(np.append(cuts, len(points)))
     doc = np.searchsorted(starts, cuts, side="right") - 1
-    scored = scores[np.arange(len(cuts)), best] > 0
-    np.add.at(out, (doc[scored], best[scored]), length[scored])
+    which, subject = np.nonzero(scores > 0)
+    np.add.at(out, (doc[which], subject), length[which])
     return out / np.maximum(np.diff(starts), 1)[:, None]
 
 
