@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from silkmill.functions import text as X
 from silkmill.operators import chunking, dialog, graph, layout, metrics, qa, sampling, sections, tool_calls, triage, vectors
-from silkmill.operators.tool_tables import call_table, child_items, function_table
+from silkmill.operators.tool_tables import argument_table, call_table, child_items, function_table, property_table
 from silkmill.plans import pipelines
 from silkmill.plans.model import StubModel, ask, embed, one_of, strict_bool, vote
 from silkmill.session import read_table
@@ -86,14 +86,59 @@ def p3_found(s: SparkSession, d: str) -> DataFrame:
     return child_items(read_table(s, d, "all_function_res_qas"), read_table(s, d, "function_raw_outputs"))
 
 
+def _examples(s: SparkSession, d: str, raw: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    return read_table(s, d, "all_function_res_qas"), read_table(s, d, "function_raw_outputs") if raw else None
+
+
 @query()
 def p3_functions(s: SparkSession, d: str) -> DataFrame:
-    return function_table(read_table(s, d, "all_function_res_qas"), read_table(s, d, "function_raw_outputs"))
+    return function_table(*_examples(s, d))
+
+
+@query()
+def p3_properties(s: SparkSession, d: str) -> DataFrame:
+    return property_table(*_examples(s, d))
 
 
 @query()
 def p3_calls(s: SparkSession, d: str) -> DataFrame:
-    return call_table(read_table(s, d, "all_function_res_qas"), read_table(s, d, "function_raw_outputs"))
+    return call_table(*_examples(s, d))
+
+
+@query()
+def p3_arguments(s: SparkSession, d: str) -> DataFrame:
+    return argument_table(*_examples(s, d))
+
+
+FUNCTION = "(SELECT DISTINCT example_id, CAST(i - 1 AS INT) AS function_no, f FROM (SELECT example_id, unnest(function) AS f, generate_subscripts(function, 1) AS i FROM all_function_res_qas) WHERE f IS NOT NULL)"
+CALL = "(SELECT DISTINCT example_id, CAST(i - 1 AS INT) AS call_no, p FROM (SELECT example_id, unnest(input_parameters) AS p, generate_subscripts(input_parameters, 1) AS i FROM all_function_res_qas) WHERE p IS NOT NULL)"
+
+
+@query(f"SELECT example_id, function_no, f.name AS name, f.description AS description, f.parameters.type AS parameters_type FROM {FUNCTION}")
+def p3_structured_functions(s: SparkSession, d: str) -> DataFrame:
+    """The functions of the structured table alone, as the next ones: SQL can unnest it as well."""
+    return function_table(*_examples(s, d, raw=False))
+
+
+@query(
+    f"""SELECT example_id, function_no, CAST(i - 1 AS INT) AS property_no, e.key AS property, e.value.type AS type, e.value.description AS description
+       FROM (SELECT example_id, function_no, unnest(map_entries(f.parameters.properties)) AS e, generate_subscripts(map_entries(f.parameters.properties), 1) AS i FROM {FUNCTION})"""
+)
+def p3_structured_properties(s: SparkSession, d: str) -> DataFrame:
+    return property_table(*_examples(s, d, raw=False))
+
+
+@query(f"SELECT example_id, call_no, p.function_name AS function_name FROM {CALL}")
+def p3_structured_calls(s: SparkSession, d: str) -> DataFrame:
+    return call_table(*_examples(s, d, raw=False))
+
+
+@query(
+    f"""SELECT example_id, call_no, CAST(i - 1 AS INT) AS argument_no, e.key AS argument, e.value AS value
+       FROM (SELECT example_id, call_no, unnest(map_entries(p.arguments)) AS e, generate_subscripts(map_entries(p.arguments), 1) AS i FROM {CALL})"""
+)
+def p3_structured_arguments(s: SparkSession, d: str) -> DataFrame:
+    return argument_table(*_examples(s, d, raw=False))
 
 
 @query(
