@@ -217,14 +217,6 @@ def label_windows(s: SparkSession, d: str) -> DataFrame:
     return cut.select("conv_id", "window_no", _ids(F.col("input_ids")).alias("input_ids"), _ids(F.col("labels")).alias("labels"))
 
 
-@query()
-def entry_pipeline(s: SparkSession, d: str) -> DataFrame:
-    """Dialogues tokenised, masked, cut, filtered and packed into training windows."""
-    shard = F.floor(F.col("conv_id") / 512)
-    packed = pipelines.training_windows(turns(s, d), "conv_id", "turn", F.lit("Be brief."), shard, 2048, 1536)
-    return packed.select("shard", "bin_no", "conv_id", "window_no", "n", _ids(F.col("input_ids")).alias("input_ids"), _ids(F.col("labels")).alias("labels"))
-
-
 @query(f"SELECT doc_id, len(u) AS n, array_to_string(u[greatest(len(u) - 127, 1):], ',') AS tail FROM (SELECT doc_id, {_unicode('text')} AS u FROM documents WHERE length(text) > 0)")
 def left_truncate(s: SparkSession, d: str) -> DataFrame:
     ids = read_table(s, d, "documents").where(F.length("text") > 0).select("doc_id", X.tokens(F.col("text")).alias("u"))
@@ -377,7 +369,7 @@ def dialog_state_machine(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT file, count(*) AS records FROM (SELECT 'f' || (qa_id % 10) AS file FROM " + SETS + ") GROUP BY file")
 def dialogue_file_stats(s: SparkSession, d: str) -> DataFrame:
-    return pipelines.dialogues_to_json(dialogue_lines(s, d), "file").groupBy("file").agg(F.count("*").alias("records"))
+    return sections.record_counts(dialogue_lines(s, d), "file", "line")
 
 
 # ------------------------------------------------------------------------------------ chunks
@@ -392,16 +384,6 @@ def token_windows(s: SparkSession, d: str) -> DataFrame:
     return chunking.token_windows(ids, ["doc_id"], "ids", 512, 64).select("doc_id", "window_no", "start", _ids(F.col("window")).alias("ids"))
 
 
-@query()
-def recursive_split(s: SparkSession, d: str) -> DataFrame:
-    return chunking.recursive_chunks(chunks(s, d), ["chunk_id"], "page_content", 300, 50)
-
-
-@query()
-def single_separator_split(s: SparkSession, d: str) -> DataFrame:
-    return chunking.recursive_chunks(chunks(s, d), ["chunk_id"], "page_content", 500, 50, ("。\n",))
-
-
 def _fold_sql(items: str, first: str, step_held: str, step_out: str) -> str:
     """A fold over a list column ``s``, as a recursive query with a row per item."""
     return f"""WITH RECURSIVE base AS ({items}), f AS (
@@ -469,12 +451,6 @@ def fence_json_parse(s: SparkSession, d: str) -> DataFrame:
     return raws.select("raw_id", "json", F.expr("try_parse_json(json)").isNotNull().alias("ok"))
 
 
-@query("SELECT p_partkey, p_name || '|' || p_brand AS items FROM part")
-def literal_lists(s: SparkSession, d: str) -> DataFrame:
-    written = F.concat(F.lit("['"), "p_name", F.lit("', '"), "p_brand", F.lit("']"))
-    return read_table(s, d, "part").select("p_partkey", F.array_join(X.literal_list(written), "|").alias("items"))
-
-
 @query(
     """WITH e AS (SELECT example_id, any_value(function) AS f, any_value(input_parameters) AS p FROM all_function_res_qas GROUP BY example_id),
         c AS (SELECT example_id, bool_and(coalesce(f[i].name = p[i].function_name AND f[i].parameters.required IS NOT NULL AND p[i].arguments IS NOT NULL
@@ -542,26 +518,6 @@ def label_gate(s: SparkSession, d: str) -> DataFrame:
     return votes.join(known, "doc_id", "left_semi").select("doc_id", qa.majority(F.col("votes")).alias("verdict"))
 
 
-@query()
-def model_vote(s: SparkSession, d: str) -> DataFrame:
-    """A yes-or-no question asked three times of the stand-in model, decided by majority."""
-    return vote(sets(s, d), "qa_id", F.concat(F.lit("True or False: "), F.coalesce("content", F.lit(""))))
-
-
-@query()
-def model_answers(s: SparkSession, d: str) -> DataFrame:
-    """Answers of the stand-in model, as strict booleans and as an enumeration with a default."""
-    asked = ask(sets(s, d).select("qa_id", "book_name"), F.concat(F.lit("True or False: "), F.coalesce("book_name", F.lit(""))), StubModel)
-    return asked.select("qa_id", strict_bool(F.col("answer")).alias("strict"), one_of(F.col("answer"), ["True"], "other").alias("named"), "error")
-
-
-@query()
-def verified_qa(s: SparkSession, d: str) -> DataFrame:
-    """The four model stages from paragraph to checked question and answer, with the stand-in model."""
-    templates = {"relevant": "True or False: {text}", "summary": "{text}", "question": "ask about {text}", "check": "True or False: {Q} {A}"}
-    return pipelines.verified_qa(paras(s, d), "book_id", "para_id", "content", templates, 5)
-
-
 @query("SELECT p_partkey, CASE WHEN p_brand IN ('Brand#1', 'Brand#2', 'Brand#3') THEN p_brand ELSE '其他' END AS brand FROM part")
 def enum_default(s: SparkSession, d: str) -> DataFrame:
     return read_table(s, d, "part").select("p_partkey", one_of(F.col("p_brand"), ["Brand#1", "Brand#2", "Brand#3"], "其他").alias("brand"))
@@ -665,17 +621,6 @@ def span_rows(s: SparkSession, d: str) -> DataFrame:
     return layout.spans_to_rows(spans, "page")
 
 
-@query(
-    """SELECT p_partkey, CASE WHEN p_retailprice < 1000 THEN 0 WHEN p_retailprice < 1500 THEN 1 WHEN p_retailprice < 2000 THEN 2 ELSE 0 END AS col_no,
-        CAST((SELECT count(DISTINCT q.p_size) FROM part q WHERE q.p_size <= part.p_size) - 1 AS INT) AS start_no FROM part"""
-)
-def column_lookup(s: SparkSession, d: str) -> DataFrame:
-    parts = read_table(s, d, "part")
-    borders = layout.column_borders([1000.0, 1500.0], 900.0, 2000.0)
-    starts = parts.agg(F.array_sort(F.collect_set("p_size")).alias("starts"))
-    return parts.crossJoin(F.broadcast(starts)).select("p_partkey", layout.column_of(F.col("p_retailprice"), borders).alias("col_no"), layout.last_start(F.col("p_size"), F.col("starts")).alias("start_no"))
-
-
 @query(
     """SELECT user_id AS page, string_agg(event_type || chr(10), '' ORDER BY CASE WHEN event_id * 13 % 1000 > 400 THEN 1 ELSE 0 END, event_id) AS text
        FROM events WHERE event_id % 3 <> 2 GROUP BY user_id"""
@@ -761,11 +706,6 @@ def node_max_id(s: SparkSession, d: str) -> DataFrame:
     return graph.max_node_id(_nodes(s, d))
 
 
-@query("SELECT c.id, o.s_suppkey IS NOT NULL AS matched FROM (SELECT s_suppkey * 3 AS id FROM supplier) c LEFT JOIN supplier o ON o.s_suppkey = c.id")
-def node_update(s: SparkSession, d: str) -> DataFrame:
-    return graph.update_nodes(_nodes(s, d), read_table(s, d, "supplier").select((F.col("s_suppkey") * 3).alias("id")))
-
-
 @query("SELECT s_suppkey AS id, s_name AS name FROM supplier WHERE s_nationkey = 5 ORDER BY s_suppkey LIMIT 1")
 def node_match(s: SparkSession, d: str) -> DataFrame:
     return graph.find_nodes(_nodes(s, d), "Supplier", {"nation": "5"}).select("id", "name")
@@ -874,36 +814,8 @@ def bleu_ngrams(s: SparkSession, d: str) -> DataFrame:
     return metrics.ngram_overlap(_pairs(s, d), "qa_id", F.col("c"), F.col("r"), 2)
 
 
-@query()
-def bleu_corpus(s: SparkSession, d: str) -> DataFrame:
-    return metrics.bleu(_pairs(s, d), "qa_id", F.col("c"), F.col("r"))
-
-
-@query()
-def rouge_scores(s: SparkSession, d: str) -> DataFrame:
-    pairs = _pairs(s, d)
-    longest = pairs.select("qa_id", metrics.rouge_l(F.col("c"), F.col("r")).alias("rouge_l"))
-    one = metrics.rouge_n(pairs, "qa_id", F.col("c"), F.col("r"), 1).select("qa_id", F.col("f1").alias("rouge_1"))
-    return longest.join(one, "qa_id")
-
-
 @query("SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, count(*) AS events FROM events GROUP BY 1, 2")
 def event_windows(s: SparkSession, d: str) -> DataFrame:
     """The streaming aggregation over the whole table at once."""
     counted = windowed_counts(read_table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 hour", "10 minutes", ["event_type"])
     return counted.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
-
-
-# ------------------------------------------------------------------------------------ whole pipelines
-
-
-@query()
-def load_chunks(s: SparkSession, d: str) -> DataFrame:
-    pages = chunks(s, d).where(F.col("page_content").isNotNull()).select("book_id", F.col("chunk_id").cast("int").alias("page_number"), F.col("page_content").alias("text"))
-    return pipelines.load_chunks(pages, "book_id", 300, 50)
-
-
-@query()
-def merged_paragraphs(s: SparkSession, d: str) -> DataFrame:
-    lines = paras(s, d).where(F.col("content").isNotNull()).select("book_id", "pos", "para_id", F.col("content").alias("text"))
-    return pipelines.merged_paragraphs(lines, "book_id", ["pos", "para_id"])

@@ -77,9 +77,29 @@ def fenced_json(raw: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(raw, r"^\s*```(?:json)?\s*", ""), r"\s*```\s*$", ""))
 
 
+# Items of a written list: text in either kind of quotes with escapes, numbers and constants.
+_ITEM = r"""(?:'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|-?[0-9]+(?:\.[0-9]+)?|True|False|None|true|false|null)"""
+_LIST = rf"(?s)\A\s*\[\s*(?:{_ITEM}\s*(?:,\s*{_ITEM}\s*)*+,?\s*)?\]\s*\z"
+
+
 def literal_list(raw: Column) -> Column:
-    """A list of strings written with either kind of quotes; an empty array where it isn't one. Nothing is evaluated."""
-    return F.coalesce(F.from_json(F.translate(raw, "'", '"'), "array<string>"), F.array().cast("array<string>"))
+    """A list of strings written with either kind of quotes, which may hold the other; an empty array where it isn't one.
+
+    Nothing is evaluated: numbers and constants stay as written, none and null are null, and of the
+    escapes those of quotes, backslashes, line breaks and tabs are known.
+    """
+
+    def item(x: Column) -> Column:
+        inner = F.substring(x, F.lit(2), F.length(x) - 2)
+        # a backslash of its own is put aside while the others are read
+        held = F.replace(inner, F.lit("\\\\"), F.lit("\x00"))
+        for written, meant in (("\\n", "\n"), ("\\t", "\t"), ("\\'", "'"), ('\\"', '"')):
+            held = F.replace(held, F.lit(written), F.lit(meant))
+        quoted = F.startswith(x, F.lit("'")) | F.startswith(x, F.lit('"'))
+        return F.when(quoted, F.replace(held, F.lit("\x00"), F.lit("\\"))).when(~x.isin("None", "null"), x)
+
+    items = F.transform(F.regexp_extract_all(raw, F.lit("(?s)" + _ITEM), F.lit(0)), item)
+    return F.when(raw.rlike(_LIST), items).otherwise(F.array().cast("array<string>"))
 
 
 def render(template: str, values: Mapping[str, Column]) -> Column:

@@ -63,8 +63,9 @@ def split_recursive(text: str, size: int, overlap: int, separators: Sequence[str
     return out
 
 
-def recursive_chunks(df: DataFrame, keys: list[str], text: str, size: int, overlap: int, separators: Sequence[str] = SEPARATORS) -> DataFrame:
-    """(keys, chunk_no, chunk) by ``split_recursive``, in Arrow batches; keys keep their types."""
+def recursive_chunks(df: DataFrame, keys: list[str], text: str, size: int, overlap: int, separators: Sequence[str] = SEPARATORS, above: int | None = None) -> DataFrame:
+    """(keys, chunk_no, chunk) by ``split_recursive``, in Arrow batches; keys keep their types. Texts of at most ``above``
+    characters stay whole, if it is given; null and empty texts give no chunk."""
     schema = T.StructType([*df.select(*keys).schema.fields, T.StructField("chunk_no", T.IntegerType()), T.StructField("chunk", T.StringType())])
     seps = tuple(separators)
 
@@ -72,7 +73,7 @@ def recursive_chunks(df: DataFrame, keys: list[str], text: str, size: int, overl
         for batch in batches:
             rows, numbers, chunks = [], [], []
             for i, t in enumerate(batch.column(len(keys)).to_pylist()):
-                found = split_recursive(t or "", size, overlap, seps)
+                found = [t] if t and above is not None and len(t) <= above else split_recursive(t or "", size, overlap, seps)
                 rows += [i] * len(found)
                 numbers += range(len(found))
                 chunks += found

@@ -84,10 +84,16 @@ def keep_last(ids: Column, n: int) -> Column:
 
 
 def continuation(prompt: Column, generated: Column, end_token: Column) -> Column:
-    """What follows the first occurrence of ``prompt`` in ``generated``, up to the end token; empty if it is not there."""
-    n = F.size(prompt)
-    starts = F.sequence(F.lit(1), F.greatest(F.size(generated) - n + 1, F.lit(1)))
-    at = F.get(F.filter(starts, lambda i: F.slice(generated, i, n) == prompt), F.lit(0))
-    rest = F.slice(generated, at + n, F.greatest(F.size(generated) - n - at + 1, F.lit(0)))
-    stop = F.array_position(rest, end_token)
-    return F.when(at.isNull() | (n == 0), F.slice(generated, F.lit(1), F.lit(0))).otherwise(F.when(stop > 0, F.slice(rest, F.lit(1), (stop - 1).cast("int"))).otherwise(rest))
+    """What follows the first occurrence of ``prompt`` in ``generated``, up to the end token; empty if it is not there.
+
+    Arrays of integers. They are compared as texts of numbers between commas, as a search in a text is one pass.
+    """
+    listed = lambda ids: F.concat(F.lit(","), F.array_join(ids.cast("array<string>"), ","), F.lit(","))
+    wanted, whole = listed(prompt), listed(generated)
+    at = F.instr(whole, wanted)
+    # the comma that ends the prompt begins what follows
+    rest = F.concat(F.lit(","), F.substring(whole, at + F.length(wanted), F.length(whole)))
+    stop = F.instr(rest, F.concat(F.lit(","), end_token.cast("string"), F.lit(",")))
+    kept = F.when(stop > 0, F.substring(rest, F.lit(1), stop)).otherwise(rest)
+    ids = F.filter(F.split(kept, ","), lambda x: x != "").cast("array<int>")
+    return F.when((at > 0) & (F.size(prompt) > 0), ids).otherwise(F.array().cast("array<int>"))

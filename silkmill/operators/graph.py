@@ -31,8 +31,18 @@ def upsert_nodes(nodes: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def update_nodes(nodes: DataFrame, changes: DataFrame) -> DataFrame:
-    """(changes' id, matched): and nodes stay as they are where no change names them; see ``upsert_nodes`` for values."""
-    return changes.join(nodes.select(F.col("id")).distinct().withColumn("matched", F.lit(True)), "id", "left").select("id", F.coalesce("matched", F.lit(False)).alias("matched"))
+    """Nodes with the names and properties of ``changes`` (unique by id, given values overwrite) and ``changed``; ids that
+    no node has change nothing and add nothing, see ``unmatched``."""
+    new = changes.select("id", F.col("name").alias("_n"), F.col("props").alias("_p"), F.lit(True).alias("_new"))
+    joined = nodes.join(new, "id", "left")
+    changed = F.col("_new").isNotNull()
+    props = F.when(changed, merge_props(F.col("props"), F.col("_p"))).otherwise(F.col("props"))
+    return joined.select("labels", "id", F.coalesce("_n", "name").alias("name"), props.alias("props"), changed.alias("changed"))
+
+
+def unmatched(nodes: DataFrame, changes: DataFrame) -> DataFrame:
+    """The ids of ``changes`` that no node has."""
+    return changes.select("id").distinct().join(nodes.select("id"), "id", "left_anti")
 
 
 def find_nodes(nodes: DataFrame, label: str, props: dict[str, str], n: int = 1) -> DataFrame:

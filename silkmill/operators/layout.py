@@ -27,6 +27,16 @@ def column_borders(columns: list[float], left: float, right: float) -> list[floa
     return out
 
 
+def spans_table(pages: DataFrame, page: str, rect: list[float], gap: float = 3.0) -> DataFrame:
+    """(page, y0, col_no, text): the table inside ``rect`` of pages as for ``page_spans``: lines and spans outside are left
+    out, spans of a line near each other joined, columns begin where any of them does."""
+    x0, y0, x1, y1 = rect
+    kept = page_spans(pages, page).where((F.col("y0") >= y0) & (F.col("y1") <= y1) & (F.col("x0") >= x0) & (F.col("x1") <= x1))
+    merged = merge_spans(kept, [page, "block_no", "line_no", "y0"], gap)
+    seq = (F.col("block_no").cast("long") * 1_000_000 + F.col("line_no")) * 1_000_000_000 + F.col("x0").cast("long")
+    return spans_to_rows(merged.withColumn("seq", seq), page)
+
+
 def column_of(x: Column, borders: list[float]) -> Column:
     """Index of the column that ``x`` starts in: the one before the first border right of it; 0 if there is none."""
     out = F.lit(0)
@@ -40,6 +50,20 @@ def last_start(x: Column, starts: Column) -> Column:
     return F.size(F.filter(starts, lambda s: s <= x)) - 1
 
 
+def page_spans(pages: DataFrame, page: str, blocks: str = "blocks") -> DataFrame:
+    """(page, seq, block_no, line_no, span_no, y0, y1, x0, x1, text) of pages whose blocks hold lines and these spans.
+
+    ``blocks``: array of struct(lines array of struct(y0, y1, spans array of struct(x0, x1, text))). Pages, blocks and
+    lines that are null or empty give no row; seq orders the spans of a page.
+    """
+    b = pages.select(page, F.posexplode(blocks).alias("block_no", "_b"))
+    line = b.select(page, "block_no", F.posexplode("_b.lines").alias("line_no", "_l"))
+    span = line.select(page, "block_no", "line_no", F.col("_l.y0").alias("y0"), F.col("_l.y1").alias("y1"), F.posexplode("_l.spans").alias("span_no", "_s"))
+    # places within a page number far fewer than a million each
+    seq = (F.col("block_no").cast("long") * 1_000_000 + F.col("line_no")) * 1_000_000 + F.col("span_no")
+    return span.where(F.col("_s").isNotNull()).select(page, seq.alias("seq"), "block_no", "line_no", "span_no", "y0", "y1", "_s.x0", "_s.x1", "_s.text")
+
+
 def words_to_table(words: DataFrame, page: str, borders: list[float], compat: bool = False) -> DataFrame:
     """(page, y0, cells) from words (page, seq, x0, y0, text): a row per y0, a cell per column.
 

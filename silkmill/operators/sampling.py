@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from silkmill.session import broadcast_if_small, cut
+
 
 def hash_key(seed: int, *keys: Column) -> Column:
     """A text that orders rows as if at random; any engine with md5 gives the same."""
@@ -22,6 +24,28 @@ def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:
     return df.orderBy(hash_key(seed, F.col(key)), key)
 
 
+def numbered(ordered: DataFrame, name: str) -> DataFrame:
+    """Adds the place of each row of a sorted table, from 1: rows are numbered within their partition, and the sizes of the
+    partitions before, a number each, come on top, so no task holds all rows.
+
+    The rows are written first, as a sort that is run again may part them differently.
+    """
+    at = cut(ordered.withColumn("_i", F.monotonically_increasing_id()))
+    part = F.shiftright("_i", 33)
+    sizes = at.groupBy(part.alias("_p")).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = broadcast_if_small(sizes.select("_p", before.alias("_before")))
+    place = F.col("_before") + F.col("_i").bitwiseAND((1 << 33) - 1) + 1
+    return at.withColumn("_p", part).join(starts, "_p").withColumn(name, place.cast("int")).drop("_i", "_p", "_before")
+
+
+def example_prompt(df: DataFrame, group: list[str], key: str, text: str, k: int, seed: int) -> DataFrame:
+    """(group, examples): ``k`` examples of each group drawn without replacement, as lines numbered from 1."""
+    drawn = sample_per_group(df, group, key, k, seed)
+    lines = F.array_sort(F.collect_list(F.struct("sample_no", F.col(text).alias("_t"))))
+    return drawn.groupBy(*group).agg(F.array_join(F.transform(lines, lambda s: F.concat(s["sample_no"].cast("string"), F.lit(". "), s["_t"])), "\n").alias("examples"))
+
+
 def first_n(df: DataFrame, order: list[str], n: int, skip: int = 0) -> DataFrame:
     """``n`` rows after the first ``skip`` in order."""
     return df.orderBy(*order).offset(skip).limit(n)

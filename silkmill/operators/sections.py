@@ -115,6 +115,12 @@ def dialogue_records(lines: DataFrame, file: str, number: str, line: str, compat
     return out.withColumn("record_no", F.col("record_no").cast("int"))
 
 
+def record_counts(lines: DataFrame, file: str, line: str) -> DataFrame:
+    """(file, records): the number of dialogue records of each file that has any, counted by the lines that open one."""
+    opens = F.startswith(F.col(line), F.lit(HEADERS[0][0]))
+    return lines.where(opens).groupBy(file).agg(F.count("*").alias("records"))
+
+
 def runs(df: DataFrame, part: list[str], order: list[str], value: Column) -> DataFrame:
     """Adds run_no: rows of a partition in order share it while ``value`` stays the same (nulls are equal)."""
     w = Window.partitionBy(*part).orderBy(*order)

@@ -32,3 +32,15 @@ def routing_table(files: DataFrame, path: str, compat: bool = False) -> DataFram
 def not_done(todo: DataFrame, key: str, done: DataFrame, done_key: str) -> DataFrame:
     """Rows of ``todo`` whose key no row of ``done`` has; rows without a key are to do."""
     return todo.join(done.select(F.col(done_key).alias(key)).distinct(), key, "left_anti")
+
+
+def unprocessed_books(books: DataFrame, path: str, images: DataFrame, image_path: str) -> DataFrame:
+    """Books that no image names: an image is called after its book, without the ending, before a double underscore."""
+    named = images.select(F.substring_index(base_name(F.col(image_path)), "__", 1).alias("_k")).distinct()
+    return books.withColumn("_k", F.regexp_replace(base_name(F.col(path)), r"\.pdf$", "")).join(named, "_k", "left_anti").drop("_k")
+
+
+def unclassified(files: DataFrame, path: str, placed: DataFrame, placed_path: str) -> DataFrame:
+    """Files whose name no placed file has, in whatever folder it lies."""
+    known = placed.select(base_name(F.col(placed_path)).alias("_k")).distinct()
+    return files.withColumn("_k", base_name(F.col(path))).join(known, "_k", "left_anti").drop("_k")

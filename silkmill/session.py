@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new place in the shared checkpoint folder, for tables that are written to be read again."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4()}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared checkpoint folder and returns it read back: lost executors cannot take it along."""
     checkpoint_dir(df.sparkSession)

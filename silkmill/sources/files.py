@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import functools
+import io
 import json
+import re
+import zipfile
+from collections.abc import Iterable, Iterator
 from pathlib import Path
+from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silkmill.schemas import CHUNK
+
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Files that each hold one JSON array or object."""
@@ -42,6 +51,70 @@ def read_sheets(sheets: list[DataFrame], columns: list[str]) -> DataFrame:
     return out
 
 
+# The name spaces of sheets inside their files.
+_SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+
+
+def sheet_rows(raw: bytes, wanted: str) -> list[list[str | None]]:
+    """The rows of a named sheet of an xlsx file, all values as text; cells left out are null."""
+    with zipfile.ZipFile(io.BytesIO(raw)) as book:
+        tree = lambda name: ElementTree.fromstring(book.read(name))
+        shared = []
+        if "xl/sharedStrings.xml" in book.namelist():
+            shared = ["".join(t.text or "" for t in item.iter(_SHEET + "t")) for item in tree("xl/sharedStrings.xml").iter(_SHEET + "si")]
+        targets = {r.get("Id"): r.get("Target") for r in tree("xl/_rels/workbook.xml.rels")}
+        links = {s.get("name"): s.get(_LINK) for s in tree("xl/workbook.xml").iter(_SHEET + "sheet")}
+        if wanted not in links:
+            raise ValueError(f"no sheet {wanted}")
+        target = targets[links[wanted]]
+        out = []
+        for row in tree(target.lstrip("/") if target.startswith("/") else f"xl/{target}").iter(_SHEET + "row"):
+            values: list[str | None] = []
+            for cell in row.iter(_SHEET + "c"):
+                letters = re.match("[A-Z]*", cell.get("r") or "").group()
+                at = functools.reduce(lambda n, c: n * 26 + ord(c) - 64, letters, 0) - 1 if letters else len(values)
+                values += [None] * (at + 1 - len(values))
+                value = cell.find(_SHEET + "v")
+                if cell.get("t") == "inlineStr":
+                    values[at] = "".join(t.text or "" for t in cell.iter(_SHEET + "t"))
+                elif value is not None:
+                    values[at] = shared[int(value.text)] if cell.get("t") == "s" else value.text
+            out.append(values)
+    return out
+
+
+def read_xlsx(spark: SparkSession, path: str, sheets: list[str], columns: list[str]) -> DataFrame:
+    """The named columns of the named sheets of xlsx files, as text, in one table with file, sheet_no and row_no (from 0).
+
+    A sheet's first row names its columns; a missing sheet or column fails. A file is read within one task.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for number, sheet in enumerate(sheets):
+                    head, *rows = sheet_rows(raw.as_py(), sheet) or [[]]
+                    if missing := [c for c in columns if c not in head]:
+                        raise ValueError(f"{file}: sheet {sheet} has no column {missing[0]}")
+                    at = [head.index(c) for c in columns]
+                    values = [pa.array([r[k] if k < len(r) else None for r in rows], pa.string()) for k in at]
+                    yield pa.RecordBatch.from_arrays([pa.array([file] * len(rows), pa.string()), pa.array([number] * len(rows), pa.int32()), pa.array(range(len(rows)), pa.int32()), *values], names=["file", "sheet_no", "row_no", *columns])
+
+    schema = T.StructType([T.StructField("file", T.StringType()), T.StructField("sheet_no", T.IntegerType()), T.StructField("row_no", T.IntegerType()), *(T.StructField(c, T.StringType()) for c in columns)])
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path).select("path", "content").mapInArrow(run, schema)
+
+
+def stream_jsonl(spark: SparkSession, folder: str, schema: T.StructType | str, files_at_once: int = 100) -> DataFrame:
+    """JSON lines, plain or compressed, with declared fields as a stream of the files of a folder."""
+    return spark.readStream.schema(schema).option("mode", "FAILFAST").option("maxFilesPerTrigger", files_at_once).json(folder)
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(page_content, metadata) of files with an array of tagged chunks; other fields are left out."""
+    return read_json(spark, path, CHUNK)
+
+
 def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
     """A folder of JSON lines."""
     df.write.mode("append" if append else "overwrite").option("ignoreNullFields", "false").json(path)

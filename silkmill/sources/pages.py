@@ -1,61 +1,244 @@
-"""A Spark data source for books' pages: a row per page, from files of extracted text with form feeds between pages.
+"""Books as rows of pages: files are read as whole binary values and parsed on the executors.
 
-The parser is a parameter, so that one for another format can take its place where its library is installed.
+A parser makes of a file's bytes its pages and what the file says about itself. There are one for
+text with form feeds between pages and one for simple PDF files (text drawn by the usual operators,
+plain or deflated streams, fonts with a map to Unicode or Latin encodings); others can be given by
+file ending. Encrypted files and pages of images alone have no text here.
 """
 
 from __future__ import annotations
 
-import glob
-import os
-from collections.abc import Callable, Iterator
+import re
+import zlib
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-SCHEMA = "file string, page_number int, total_pages int, text string"
-
-
-def form_feed_pages(path: str) -> list[str]:
-    with open(path, encoding="utf-8") as f:
-        return f.read().split("\f")
-
-
-class _File(InputPartition):
-    def __init__(self, path: str) -> None:
-        super().__init__(path)
-        self.path = path
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, folder: str, pattern: str, parse: Callable[[str], list[str]]) -> None:
-        self.folder, self.pattern, self.parse = folder, pattern, parse
-
-    def partitions(self) -> list[InputPartition]:
-        found = sorted(glob.glob(os.path.join(self.folder, "**", self.pattern), recursive=True))
-        return [_File(p) for p in found]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        pages = self.parse(partition.path)
-        for i, text in enumerate(pages):
-            yield partition.path, i + 1, len(pages), text
-
-
-class PageSource(DataSource):
-    """Options: path (a folder), glob (default ``*.txt``). Files are partitions."""
-
-    parse: Callable[[str], list[str]] = staticmethod(form_feed_pages)
-
-    @classmethod
-    def name(cls) -> str:
-        return "book_pages"
-
-    def schema(self) -> str:
-        return SCHEMA
-
-    def reader(self, schema: object) -> DataSourceReader:
-        return _Reader(self.options["path"], self.options.get("glob", "*.txt"), type(self).parse)
-
-
-def register(spark: SparkSession) -> None:
-    """Makes ``spark.read.format("book_pages")`` known."""
-    spark.dataSource.register(PageSource)
+from silkmill.functions.text import base_name
+
+SCHEMA = "file string, page_number int, total_pages int, text string, title string, author string, subject string, keywords string, error string"
+FIELDS = ("title", "author", "subject", "keywords")
+
+
+@dataclass
+class Book:
+    pages: list[str]
+    about: dict[str, str] = field(default_factory=dict)
+
+
+Parser = Callable[[bytes], Book]
+
+
+def form_feed_pages(raw: bytes) -> Book:
+    return Book(raw.decode("utf-8").split("\f"))
+
+
+# ---------------------------------------------------------------------------------------------- PDF
+
+_OBJECT = re.compile(rb"(?<![0-9])(\d+)\s+(\d+)\s+obj\b(.*?)\bendobj", re.S)
+_STREAM = re.compile(rb"stream\r?\n(.*?)\r?\n?endstream", re.S)
+_REFERENCE = re.compile(rb"(\d+)\s+\d+\s+R\b")
+_TOKEN = re.compile(rb"\((?:[^()\\]|\\.|\((?:[^()\\]|\\.)*\))*\)|<[0-9A-Fa-f\s]*>|\[|\]|/[^\s()<>\[\]/]+|-?\d*\.?\d+|[A-Za-z'\"*]+", re.S)
+_ESCAPE = re.compile(rb"\\(?:([0-7]{1,3})|(\r\n|.))", re.S)
+_ESCAPES = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f", b"\n": b"", b"\r": b"", b"\r\n": b""}
+
+
+def _literal(raw: bytes) -> bytes:
+    """The bytes of a string as written, in brackets or in hexadecimal."""
+    if raw[:1] == b"<":
+        digits = re.sub(rb"\s", b"", raw[1:-1])
+        return bytes.fromhex((digits + b"0" * (len(digits) % 2)).decode())
+    return _ESCAPE.sub(lambda m: bytes([int(m.group(1), 8) & 255]) if m.group(1) else _ESCAPES.get(m.group(2), m.group(2)), raw[1:-1])
+
+
+def _text(raw: bytes) -> str:
+    """A text value outside pages."""
+    return raw[2:].decode("utf-16-be", "replace") if raw[:2] == b"\xfe\xff" else raw.decode("utf-8") if _is_utf8(raw) else raw.decode("latin-1")
+
+
+def _is_utf8(raw: bytes) -> bool:
+    try:
+        raw.decode("utf-8")
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
+class _Pdf:
+    def __init__(self, raw: bytes) -> None:
+        self.objects = {int(m.group(1)): m.group(3) for m in _OBJECT.finditer(raw)}
+        if b"/Encrypt" in raw:
+            raise ValueError("the file is encrypted")
+        for body in list(self.objects.values()):
+            if b"/ObjStm" in body:
+                self._unpack(body)
+        self.trailer = raw[raw.rfind(b"trailer") :] if b"trailer" in raw else b"".join(b for b in self.objects.values() if b"/XRef" in b)
+
+    def stream(self, body: bytes) -> bytes:
+        m = _STREAM.search(body)
+        if not m:
+            return b""
+        head = body[: m.start()]
+        if b"/FlateDecode" not in head:
+            return m.group(1)
+        return zlib.decompressobj().decompress(m.group(1))
+
+    def _unpack(self, body: bytes) -> None:
+        """Objects inside a stream of objects."""
+        first = int(re.search(rb"/First\s+(\d+)", body).group(1))
+        data = self.stream(body)
+        numbers = [int(x) for x in data[:first].split()]
+        starts = [*numbers[1::2], len(data) - first]
+        for number, a, b in zip(numbers[::2], starts, starts[1:], strict=False):
+            self.objects.setdefault(number, data[first + a : first + b])
+
+    def value(self, body: bytes, name: bytes) -> bytes:
+        """The rest of a dictionary after a key, the object itself where it is a reference; empty if there is none."""
+        m = re.search(rb"/" + name + rb"(?![A-Za-z])\s*", body)
+        if not m:
+            return b""
+        rest = body[m.end() :]
+        reference = _REFERENCE.match(rest)
+        return self.objects.get(int(reference.group(1)), b"") if reference else rest
+
+    def kids(self, body: bytes) -> list[bytes]:
+        rest = self.value(body, b"Kids")
+        return [self.objects.get(int(n), b"") for n in _REFERENCE.findall(rest[: rest.find(b"]")])]
+
+    def pages(self, node: bytes, fonts: bytes = b"", depth: int = 0) -> Iterator[tuple[bytes, bytes]]:
+        """(page, its resources), in order; resources are inherited."""
+        own = self.value(node, b"Resources") or fonts
+        if b"/Kids" in node and depth < 64:
+            for kid in self.kids(node):
+                yield from self.pages(kid, own, depth + 1)
+        elif b"/Page" in node:
+            yield node, own
+
+    def content(self, page: bytes) -> bytes:
+        m = re.search(rb"/Contents\s*(\[[^\]]*\]|\d+\s+\d+\s+R)", page)
+        if not m:
+            return b""
+        bodies = [self.objects.get(int(n), b"") for n in _REFERENCE.findall(m.group(1))]
+        if len(bodies) == 1 and bodies[0].lstrip()[:1] == b"[":
+            bodies = [self.objects.get(int(n), b"") for n in _REFERENCE.findall(bodies[0])]
+        return b"\n".join(self.stream(b) for b in bodies)
+
+    def fonts(self, resources: bytes) -> dict[bytes, dict[bytes, str] | None]:
+        """Font name to the map of its codes, None for fonts of Latin encodings."""
+        listed = self.value(resources, b"Font")
+        listed = listed[: listed.find(b">>")] if b">>" in listed else listed
+        out: dict[bytes, dict[bytes, str] | None] = {}
+        for name, number in re.findall(rb"/([^\s/]+)\s+(\d+)\s+\d+\s+R", listed):
+            mapped = self.value(self.objects.get(int(number), b""), b"ToUnicode")
+            out[name] = self.codes(self.stream(mapped)) if mapped else None
+        return out
+
+    @staticmethod
+    def codes(cmap: bytes) -> dict[bytes, str]:
+        out: dict[bytes, str] = {}
+        of = lambda h: _literal(b"<" + h + b">")
+        for block in re.findall(rb"beginbfchar(.*?)endbfchar", cmap, re.S):
+            for a, b in re.findall(rb"<([0-9A-Fa-f\s]+)>\s*<([0-9A-Fa-f\s]+)>", block):
+                out[of(a)] = of(b).decode("utf-16-be", "replace")
+        for block in re.findall(rb"beginbfrange(.*?)endbfrange", cmap, re.S):
+            for a, b, c, several in re.findall(rb"<([0-9A-Fa-f]+)>\s*<([0-9A-Fa-f]+)>\s*(?:<([0-9A-Fa-f]+)>|\[(.*?)\])", block, re.S):
+                low, high, width = int(a, 16), int(b, 16), len(of(a))
+                if several:
+                    texts = [of(x).decode("utf-16-be", "replace") for x in re.findall(rb"<([0-9A-Fa-f]+)>", several)]
+                else:
+                    start = of(c).decode("utf-16-be", "replace")
+                    texts = [start[:-1] + chr(ord(start[-1]) + k) for k in range(high - low + 1)]
+                for k, text in zip(range(low, high + 1), texts, strict=False):
+                    out[k.to_bytes(width, "big")] = text
+        return out
+
+    def page_text(self, page: bytes, resources: bytes) -> str:
+        """The text that a page draws, a line break where the line changes."""
+        fonts, codes = self.fonts(resources), None
+        out: list[str] = []
+        stack: list[bytes] = []
+
+        def shown(raw: bytes) -> str:
+            data = _literal(raw)
+            if codes is None:
+                return data.decode("cp1252", "replace")
+            width = max((len(k) for k in codes), default=1)
+            return "".join(codes.get(data[i : i + width], "\ufffd") for i in range(0, len(data), width))
+
+        def line() -> None:
+            if out and not out[-1].endswith("\n"):
+                out.append("\n")
+
+        for m in _TOKEN.finditer(self.content(page)):
+            token = m.group()
+            if token[:1] in b"(<[]/-.0123456789":
+                stack.append(token)
+                continue
+            if token == b"Tf" and len(stack) > 1:
+                codes = fonts.get(stack[-2][1:])
+            elif token in (b"Tj", b"'", b'"'):
+                if token != b"Tj":
+                    line()
+                out += [shown(s) for s in stack[-1:] if s[:1] in b"(<"]
+            elif token == b"TJ":
+                for s in stack:
+                    if s[:1] in b"(<":
+                        out.append(shown(s))
+                    elif s[:1] not in b"[]/" and float(s) < -200 and out and not out[-1].endswith((" ", "\n")):
+                        out.append(" ")  # a gap as wide as a word's
+            elif token in (b"T*", b"TD") or (token == b"Td" and stack and float(stack[-1]) != 0) or token in (b"Tm", b"ET"):
+                line()
+            stack = []
+        return "".join(out)
+
+
+def pdf_pages(raw: bytes) -> Book:
+    pdf = _Pdf(raw)
+    root = pdf.value(pdf.trailer, b"Root") or next((b for b in pdf.objects.values() if b"/Catalog" in b), b"")
+    pages = [pdf.page_text(page, resources) for page, resources in pdf.pages(pdf.value(root, b"Pages"))]
+    info = pdf.value(pdf.trailer, b"Info")
+    about = {}
+    for name in FIELDS:
+        rest = pdf.value(info, name.capitalize().encode())
+        m = _TOKEN.match(rest)
+        if m and m.group()[:1] in b"(<":
+            about[name] = _text(_literal(m.group()))
+    return Book(pages, about)
+
+
+# ---------------------------------------------------------------------------------------------- reading
+
+PARSERS: dict[str, Parser] = {"txt": form_feed_pages, "pdf": pdf_pages}
+
+
+def _pages(parsers: dict[str, Parser]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    names = ["file", "page_number", "total_pages", "text", *FIELDS, "error"]
+    kinds = [pa.string(), pa.int32(), pa.int32(), *[pa.string()] * 6]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                try:
+                    book, error = parsers[path.rsplit(".", 1)[-1].lower()](raw.as_py()), None
+                except Exception as e:  # noqa: BLE001
+                    book, error = Book([]), f"{type(e).__name__}: {e}"[:500]
+                about = [book.about.get(f) for f in FIELDS]
+                rows = [(path, i + 1, len(book.pages), text, *about, None) for i, text in enumerate(book.pages)]
+                rows += [(path, None, 0, None, *about, error)] if error else []
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(len(kinds))], names=names)
+
+    return run
+
+
+def read_pages(spark: SparkSession, folder: str, glob: str | None = None, parsers: dict[str, Parser] | None = None) -> DataFrame:
+    """(file, page_number, total_pages, text, title, author, subject, keywords, error): a row per page of all files below a
+    folder, of the kinds that have a parser. A file that can't be read has one row with its error and no page."""
+    parsers = {**PARSERS, **(parsers or {})}
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    ending = F.lower(F.substring_index(base_name(F.col("path")), ".", -1))
+    return reader.load(folder).where(ending.isin(*parsers)).select("path", "content").mapInArrow(_pages(parsers), SCHEMA)

@@ -1,6 +1,8 @@
 """Core operators on hand-written rows, the odd behaviours in both modes, and repartition invariance."""
 
 import json
+import zipfile
+import zlib
 
 import pytest
 from hypothesis import given, settings
@@ -22,6 +24,8 @@ def test_text_functions(spark):
     assert one(spark, X.clean_text(F.col("t")), t="<b>见</b>https://a.b/c?d 发a.b@c.de！！！１２Ａ 13812345678") == "见 发！12A "
     assert one(spark, X.fenced_json(F.col("t")), t='```json\n{"a":1}\n```') == '{"a":1}'
     assert one(spark, X.literal_list(F.col("t")), t="['a', \"b\"]") == ["a", "b"]
+    for written, meant in ((r"""['it\'s', "it's", 'say "a"', 'back\\n', 'x\ny']""", ["it's", "it's", 'say "a"', "back\\n", "x\ny"]), ("[1, -2.5, None, True,]", ["1", "-2.5", None, "True"]), ("[]", []), (" ['a' 'b']", []), ("['a', b]", []), ("['" + "x" * 30_000 + "']", ["x" * 30_000]), ("not", []), ("['a'] + ['b']", [])):
+        assert one(spark, X.literal_list(F.col("t")), t=written) == meant
     assert one(spark, X.literal_list(F.col("t")), t="__import__('os')") == []
     assert one(spark, X.render("{{x}} {t}{u}", {"t": F.col("t")}), t="{u}") == "{x} {u}{u}"
     assert one(spark, X.drop_numbering(F.col("t")), t="1. a 1.b") == " a 1.b"
@@ -129,6 +133,22 @@ def test_layout(spark):
     assert layout.large_figures(figs, F.lit(51)).count() == 1 and layout.large_figures(figs, F.lit(50)).count() == 0
 
 
+def test_page_spans(spark):
+    span, line = "struct<x0: double, x1: double, text: string>", "struct<y0: double, y1: double, spans: array<{}>>"
+    schema = f"page int, blocks array<struct<lines: array<{line.format(span)}>>>"
+    lines = [(10.0, 12.0, [(0.0, 4.0, "a"), (6.0, 9.0, "b"), (50.0, 60.0, "c"), None]), None, (14.0, 16.0, [(200.0, 300.0, "out")]), (90.0, 99.0, [(0.0, 1.0, "low")]), (20.0, 22.0, None)]
+    df = spark.createDataFrame([(1, [(lines,), None, ([],)]), (2, None), (3, [])], schema)
+    assert [(r["line_no"], r["span_no"], r["text"]) for r in layout.page_spans(df, "page").orderBy("seq").collect()] == [(0, 0, "a"), (0, 1, "b"), (0, 2, "c"), (2, 0, "out"), (3, 0, "low")]
+    assert sorted(tuple(r) for r in layout.spans_table(df, "page", [0.0, 0.0, 100.0, 50.0]).collect()) == [(1, 10.0, 0, "ab"), (1, 10.0, 1, "c")]
+
+
+def test_library(spark):
+    books = spark.createDataFrame([("/a/x.pdf",), ("/a/y.pdf",), (None,)], "p string")
+    images = spark.createDataFrame([("/i/x__1.png",), ("/i/z.png",), (None,)], "i string")
+    assert [r["p"] for r in triage.unprocessed_books(books, "p", images, "i").collect()] in (["/a/y.pdf", None], [None, "/a/y.pdf"])
+    assert triage.unclassified(books.where("p IS NOT NULL"), "p", spark.createDataFrame([("/else/y.pdf",)], "q string"), "q").first()["p"] == "/a/x.pdf"
+
+
 def test_graph(spark):
     node = "labels array<string>, id long, name string, props map<string,string>"
     nodes = spark.createDataFrame([(["A"], 1, "x", {"k": "1", "m": "2"}), (["B"], 2, "y", None)], node)
@@ -136,6 +156,9 @@ def test_graph(spark):
     got = {r["id"]: (r["name"], r["props"], r["inserted"]) for r in up.collect()}
     assert got == {1: ("x", {"k": "9", "m": "2"}, False), 2: ("y", {}, False), 3: ("z", {}, True)}
     assert graph.max_node_id(nodes.where("false")).first()[0] == -1
+    changes = spark.createDataFrame([(["A"], 1, None, {"k": "9"}), (["A"], 3, "z", {})], node)
+    assert {r["id"]: (r["name"], r["props"], r["changed"]) for r in graph.update_nodes(nodes, changes).collect()} == {1: ("x", {"k": "9", "m": "2"}, True), 2: ("y", None, False)}
+    assert [r["id"] for r in graph.unmatched(nodes, changes).collect()] == [3]
     edges = spark.createDataFrame([(1, 1, 2, "r"), (2, 2, 1, "s")], "id long, source long, target long, label string")
     new = spark.createDataFrame([(3, 1, 2, "t")], edges.schema)
     assert sorted(r["id"] for r in graph.replace_edges(edges, new).collect()) == [2, 3]
@@ -160,6 +183,11 @@ def test_vectors_and_metrics(spark):
     pair = spark.createDataFrame([(1, list("the the the"), list("the cat"))], "k int, c array<string>, r array<string>")
     same = spark.createDataFrame([(1, list("abcdef"), list("abcdef"))], pair.schema)
     assert metrics.bleu(same, "k", F.col("c"), F.col("r")).first()["bleu_4"] == pytest.approx(1.0)
+    assert metrics.summary_overlap([["the", "cat", "sat"], ["it", "ran"]], [["the", "cat", "ran"]]) == pytest.approx(2 * 3 / 8)
+    assert metrics.summary_overlap([], [["a"]]) == 0.0
+    lines = spark.createDataFrame([("a b\nc d", "c d\na b"), (None, "a"), ("", "")], "c string, r string")
+    assert [r[0] for r in lines.select(metrics.rouge_lsum(F.col("c"), F.col("r"))).collect()] == [1.0, 0.0, 0.0]
+    assert metrics.mean_loss(spark.createDataFrame([(1.0,), (None,), (2.0,)], "loss double")).first()[:] == (1.5, 2)
     assert metrics.ngram_overlap(pair, "k", F.col("c"), F.col("r"), 3).first()["matches"] == 2
 
 
@@ -169,6 +197,10 @@ def test_sampling_and_qa(spark):
         mixed = sampling.interleave(df.repartition(n), "s", "id", {"a": 0.5, "c": 0.4, "none": 0.1}, 20, 3).collect()
         assert sorted(r["draw_no"] for r in mixed) == list(range(1, 19))
         assert sum(r["s"] == "c" for r in mixed) == 8 and max(r["repeat_no"] for r in mixed) == 7
+    for n in (1, 5):
+        placed = [(r["n"], r["id"]) for r in sampling.numbered(sampling.shuffled(df.repartition(n), "id", 4), "n").collect()]
+        assert sorted(p for p, _ in placed) == list(range(1, 52))
+        assert [i for _, i in sorted(placed)] == [r["id"] for r in sampling.shuffled(df, "id", 4).collect()]
     assert sampling.largest_remainder({"a": 1, "b": 1, "c": 1}, 4) == {"a": 2, "b": 1, "c": 1}
     assert sampling.sample_per_group(df, ["s"], "id", 3, 1).count() == 7
     assert one(spark, qa.refined(F.col("q")), q=["1. a\nb", "说答案", "c"]) == [" a", "c"]
@@ -206,8 +238,91 @@ def test_model_boundary(spark):
     assert dead[0]["answer"] is None and "down" in dead[0]["error"]
     assert one(spark, model.strict_bool(F.col("t")), t="True.") is None and one(spark, model.loose_bool(F.col("t")), t="True.") is True
     assert model.branch(df, F.col("p") == "a", lambda x: x.withColumn("b", F.lit(1)), lambda x: x.withColumn("b", F.lit(2))).where("b = 2").count() == 1
-    done = model.rounds(spark.createDataFrame([(1,)], "k int"), "k", lambda i: F.lit(f"try {i}"), lambda a: a.isNotNull(), 2, 4)
-    assert done.count() == 2
+    class Picky:
+        """Refuses every second call for a function; groups of prompts with a bad one fail as a whole."""
+
+        def __init__(self):
+            self.seen = []
+
+        def generate(self, prompts):
+            self.seen += prompts
+            if len(prompts) > 1 and "bad" in "".join(prompts):
+                raise OSError("down")
+            return [None if "bad" in p else json.dumps({"question": f"q{len(self.seen)}", "function": [{"name": "f", "parameters": {"required": []}}], "input_parameters": [{"function_name": "f" if "#1" in p else "g", "arguments": {}}]}) for p in prompts]
+
+        def chat(self, conversations):
+            return ["|".join(m["role"] + m["text"] for m in c) for c in conversations]
+
+    rows = spark.createDataFrame([(1, "one", "first"), (2, "bad", "first"), (3, "two", None)], "k int, f string, q string").coalesce(1)
+    grown = model.grow(rows, "k", "f", "q", "{function}: {questions}", 2, 3, Picky).collect()
+    assert sorted((r["k"], r["example_no"], r["attempt"]) for r in grown) == [(1, 0, 1), (1, 1, 1), (3, 0, 1), (3, 1, 1)]
+    assert [a for a, _ in model._answers(Picky().generate, ["ok", None, "bad"], 2)][1:] == [None, None]
+    assert model.accept_example("no") is None and model.accept_example('{"function": []}') is None
+    talk = spark.range(1).select(F.array(F.struct(F.lit("system").alias("role"), F.lit("s").alias("text")), F.struct(F.lit("nurse").alias("role"), F.lit("n").alias("text"))).alias("m"))
+    assert model.chat(talk, F.col("m"), Picky).first()["answer"] == "systems|ain"
+    nodes = model.new_nodes(spark.createDataFrame([(1, []), (2, ["a"]), (3, None)], "k int, l array<string>"), "l", F.lit("unasked"), F.lit("p"))
+    assert sorted((r["k"], r["answer"] == "unasked") for r in nodes.collect()) == [(1, True), (2, False), (3, True)]
+
+
+def test_http_model():
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+    from threading import Thread
+
+    class Echo(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            said = json.dumps({"choices": [{"message": {"content": body["model"] + ":" + ",".join(m["role"] for m in body["messages"])}}]}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(said)
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Echo)
+    Thread(target=server.serve_forever, daemon=True).start()
+    client = model.HttpModel(f"http://127.0.0.1:{server.server_port}/", "m")
+    assert client.generate(["a", "b"]) == ["m:user", "m:user"]
+    assert client.chat([[{"role": "system", "text": ""}, {"role": "ai", "text": ""}]]) == ["m:system,assistant"]
+    server.shutdown()
+
+
+def _pdf() -> bytes:
+    """Two pages: one plain, its text in Latin letters; one deflated, with a font of two-byte codes."""
+    drawn = b"BT /F1 12 Tf 72 700 Td (Hello \\(World\\)) Tj 0 -14 Td [(next) -300 (li) 20 (ne)] TJ ET"
+    wide = zlib.compress(b"BT /F2 12 Tf 1 0 0 1 72 700 Tm <00010002> Tj <0010> Tj ET")
+    cmap = b"1 beginbfchar <0001> <62A4> endbfchar 1 beginbfrange <0002> <0003> <7406> endbfrange 1 beginbfrange <0010> <0010> [<0041>] endbfrange"
+    objects = [
+        b"<< /Type /Catalog /Pages 2 0 R >>",
+        b"<< /Type /Pages /Kids [3 0 R 4 0 R] /Count 2 /Resources << /Font << /F1 7 0 R /F2 8 0 R >> >> >>",
+        b"<< /Type /Page /Parent 2 0 R /Contents 5 0 R >>",
+        b"<< /Type /Page /Parent 2 0 R /Contents [6 0 R] >>",
+        b"<< /Length %d >>\nstream\n%s\nendstream" % (len(drawn), drawn),
+        b"<< /Length %d /Filter /FlateDecode >>\nstream\n%s\nendstream" % (len(wide), wide),
+        b"<< /Type /Font /Subtype /Type1 /BaseFont /Helvetica >>",
+        b"<< /Type /Font /Subtype /Type0 /ToUnicode 9 0 R >>",
+        b"<< /Length %d >>\nstream\n%s\nendstream" % (len(cmap), cmap),
+        b"<< /Title (A title) /Author <FEFF62A4> >>",
+    ]
+    return b"%PDF-1.4\n" + b"\n".join(b"%d 0 obj\n%s\nendobj" % (i + 1, o) for i, o in enumerate(objects)) + b"\ntrailer << /Root 1 0 R /Info 10 0 R >>"
+
+
+PDF = _pdf()
+
+
+def test_sheets(spark, tmp_path):
+    main, link = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    sheet = lambda rows: f'<worksheet xmlns="{main}"><sheetData>{rows}</sheetData></worksheet>'
+    with zipfile.ZipFile(tmp_path / "b.xlsx", "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{link}"><sheets><sheet name="one" r:id="r1"/><sheet name="two" r:id="r2"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r1" Target="worksheets/s1.xml"/><Relationship Id="r2" Target="/xl/worksheets/s2.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}"><si><t>问题</t></si><si><r><t>回</t></r><r><t>答</t></r></si><si><t>q1</t></si></sst>')
+        z.writestr("xl/worksheets/s1.xml", sheet('<row><c r="A1" t="s"><v>0</v></c><c r="C1" t="s"><v>1</v></c></row><row><c r="A2" t="s"><v>2</v></c><c r="C2"><v>7</v></c></row><row><c r="A3" t="inlineStr"><is><t>q2</t></is></c></row>'))
+        z.writestr("xl/worksheets/s2.xml", sheet('<row><c r="A1" t="s"><v>1</v></c><c r="B1" t="s"><v>0</v></c></row>'))
+    got = files.read_xlsx(spark, str(tmp_path), ["one", "two"], ["问题", "回答"])
+    assert [tuple(r)[1:] for r in got.orderBy("row_no").collect()] == [(0, 0, "q1", "7"), (0, 1, "q2", None)]
+    with pytest.raises(Exception, match="no sheet"):
+        files.read_xlsx(spark, str(tmp_path), ["three"], ["问题"]).collect()
 
 
 def test_sources(spark, tmp_path):
@@ -222,9 +337,14 @@ def test_sources(spark, tmp_path):
         files.read_jsonl(spark, str(tmp_path / "bad.jsonl"), "k int").collect()
     assert [r["text"] for r in files.read_delimited(spark, str(tmp_path / "x" / "a.txt")).orderBy("pos").collect()][0] == "one"
     assert files.read_lines(spark, str(tmp_path / "x" / "a.txt")).count() == 2
-    pages.register(spark)
-    got = [(r["page_number"], r["total_pages"]) for r in spark.read.format("book_pages").load(str(tmp_path)).orderBy("page_number").collect()]
-    assert got == [(1, 2), (2, 2)]
+    (tmp_path / "b.pdf").write_bytes(PDF)
+    (tmp_path / "broken.pdf").write_bytes(b"%PDF /Encrypt")
+    got = {(r["file"].rsplit("/", 1)[-1], r["page_number"]): r for r in pages.read_pages(spark, str(tmp_path)).collect()}
+    assert {k: r["total_pages"] for k, r in got.items()} == {("a.txt", 1): 2, ("a.txt", 2): 2, ("b.pdf", 1): 2, ("b.pdf", 2): 2, ("broken.pdf", None): 0}
+    first = got[("b.pdf", 1)]
+    assert first["text"].split("\n")[:2] == ["Hello (World)", "next line"] and got[("b.pdf", 2)]["text"].strip() == "护理A"
+    assert (first["title"], first["author"], first["keywords"]) == ("A title", "护", None) and "encrypted" in got[("broken.pdf", None)]["error"]
+    assert pages.read_pages(spark, str(tmp_path), "*.txt", {"txt": lambda raw: pages.Book([raw.decode()])}).count() == 1
     listed = {(r["filename"], r["dirs"]) for r in triage.file_listing(spark, str(tmp_path)).collect()}
     assert ("a.txt", "x") in listed and ("a.json", "") in listed
     df = spark.createDataFrame([(1, "护"), (2, None)], "k int, t string")
