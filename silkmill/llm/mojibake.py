@@ -27,6 +27,9 @@ from silkmill.llm.charmodel import CharModel, bi_bucket, fit_char_model, uni_buc
 # Encodings that text is commonly decoded with by mistake.
 SINGLE_BYTE = ("cp1252", "latin_1", "cp1250", "cp1251", "cp437", "cp850", "cp866", "mac_roman", "koi8_r")
 MULTI_BYTE = ("gb18030", "big5", "cp949", "cp932")
+# True encodings of more than one byte, and of Cyrillic letters, besides UTF-8 and Western ones.
+MULTI_TRUE, CYRILLIC_TRUE = ("gbk", "big5", "cp932", "cp949"), ("cp1251", "koi8_r")
+_WIDER = {"gbk": "gb18030"}
 WESTERN_AS = ("cp437", "cp850", "mac_roman", "cp866", "cp1251", "cp1250")
 # Letters that stand for themselves or for a Latin look-alike, and say nothing about the encoding.
 NO_EVIDENCE = "ﬁﬂаесорухіѕјһАВЕЅКМНОРСТУХІЈαβγδεμπσΓΣΩ\xa0"
@@ -109,7 +112,7 @@ def _utf8_in_single(codec: str) -> Chain:
     return Chain(codec, "utf-8", propose, re.compile(of(0xC2, 0xF4)))
 
 
-def _gbk_in_single(codec: str) -> Chain:
+def _multi_in_single(codec: str, true: str) -> Chain:
     high = _high_half(codec)
     to_byte = {c: 0x80 + i for i, c in enumerate(high)} | {chr(b): b for b in range(0x30, 0x7F)}
     lead, upper = _char_class(high[1:-1]), _char_class(high[:-1])
@@ -118,11 +121,11 @@ def _gbk_in_single(codec: str) -> Chain:
     def propose(text: str, strange: set[str]) -> Iterator[Change]:
         for m in runs.finditer(text):
             try:
-                yield Change(m.start(), m.end(), bytes([to_byte[c] for c in m.group()]).decode("gb18030"))
+                yield Change(m.start(), m.end(), bytes([to_byte[c] for c in m.group()]).decode(_WIDER.get(true, true)))
             except UnicodeDecodeError:
                 continue
 
-    return Chain(codec, "gbk", propose, re.compile(f"{lead}{{2}}"))
+    return Chain(codec, true, propose, re.compile(f"{lead}{{2}}"))
 
 
 _UTF8_BYTES = re.compile(rb"(?:[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|\xf0[\x90-\xbf][\x80-\xbf]{2})+")
@@ -150,7 +153,7 @@ def _utf8_in_multi(codec: str) -> Chain:
     return Chain(codec, "utf-8", propose, _NOT_ASCII)
 
 
-def _gbk_in_multi(codec: str) -> Chain:
+def _multi_in_multi(codec: str, true: str) -> Chain:
     def propose(text: str, strange: set[str]) -> Iterator[Change]:
         for run in _NOT_ASCII.finditer(text):
             part = run.group()
@@ -160,14 +163,14 @@ def _gbk_in_multi(codec: str) -> Chain:
             # the whole run, or from its first to its last odd character, where the rest was never garbled
             for a, b in ((0, len(part)), *((max(0, odd[0] - x), odd[-1] + 1 + y) for x in (1, 0) for y in (1, 0))):
                 try:
-                    new = part[a:b].encode(codec).decode("gbk")
+                    new = part[a:b].encode(_WIDER.get(codec, codec)).decode(true)
                 except UnicodeError:
                     continue
                 if new != part[a:b]:
                     yield Change(run.start() + a, run.start() + min(b, len(part)), new)
                     break
 
-    return Chain(codec, "gbk", propose, re.compile("[가-힣｡-ﾟ㐀-鿿]{2}"))
+    return Chain(codec, true, propose, re.compile("[가-힣｡-ﾟ㐀-鿿]{2}"))
 
 
 def _western_in_single(codec: str) -> Chain:
@@ -184,13 +187,27 @@ def _western_in_single(codec: str) -> Chain:
     return Chain(codec, "cp1252", propose, re.compile(chars))
 
 
+def _cyrillic_in_single(codec: str, true: str) -> Chain:
+    """Runs of at least two letters, single spaces between, all of them Cyrillic in the true encoding."""
+    high, letters = _high_half(codec), _high_half(true)
+    table = {c: letters[i] for i, c in enumerate(high) if c != letters[i] and "Ѐ" <= letters[i] <= "ӿ"}
+    words = re.compile(f"{_char_class(table)}(?: ?{_char_class(table)})+")
+
+    def propose(text: str, strange: set[str]) -> Iterator[Change]:
+        for m in words.finditer(text):
+            yield Change(m.start(), m.end(), "".join(table.get(c, c) for c in m.group()))
+
+    return Chain(codec, true, propose, words)
+
+
 def all_chains() -> list[Chain]:
     return (
         [_utf8_in_single(c) for c in SINGLE_BYTE]
-        + [_gbk_in_single(c) for c in ("cp1252", "latin_1", "cp1250", "cp1251", "cp437", "cp850", "mac_roman", "koi8_r")]
+        + [_multi_in_single(c, true) for true in MULTI_TRUE for c in SINGLE_BYTE if c != "cp866"]
         + [_utf8_in_multi(c) for c in MULTI_BYTE]
-        + [_gbk_in_multi(c) for c in ("cp949", "big5", "cp932")]
+        + [_multi_in_multi(c, true) for true in MULTI_TRUE for c in ("cp949", "big5", "cp932", "gbk") if c != true]
         + [_western_in_single(c) for c in WESTERN_AS]
+        + [_cyrillic_in_single(c, true) for true in CYRILLIC_TRUE for c in SINGLE_BYTE if c != true]
     )
 
 
@@ -260,7 +277,7 @@ class Restorer:
                 continue
             taken = [c for c, g in zip(changes, gains, strict=True) if g > 0]  # the rest of the text was read the same way
             total = float(gains[gains > 0].sum())
-            if taken and (chain.true != "gbk" or max(len(c.text) for c in taken) >= 3) and (best is None or total > best[0]):
+            if taken and (chain.true not in MULTI_TRUE or max(len(c.text) for c in taken) >= 3) and (best is None or total > best[0]):
                 best = (total, chain, taken)
         if best is None:
             return None
@@ -298,7 +315,7 @@ def garble(text: str, chain_name: str) -> str | None:
         if wrong in SINGLE_BYTE:
             high = _high_half(wrong)
             return "".join(chr(b) if b < 0x80 else high[b - 0x80] for b in raw)
-        return raw.decode(wrong)
+        return raw.decode(_WIDER.get(wrong, wrong))
     except UnicodeError:
         return None
 
@@ -319,7 +336,7 @@ def garbled_as_far(text: str, chain_name: str) -> str | None:
 
 def margins_below(restorer: Restorer, text: str) -> int:
     """How many of ``MARGINS`` the largest gain of any change of the whole text exceeds."""
-    gains = [g.max() for chain, changes, g in restorer.proposals(text) if chain.true != "gbk" or max(len(c.text) for c in changes) >= 3]
+    gains = [g.max() for chain, changes, g in restorer.proposals(text) if chain.true not in MULTI_TRUE or max(len(c.text) for c in changes) >= 3]
     return int(np.searchsorted(MARGINS, max(gains, default=0.0)))
 
 

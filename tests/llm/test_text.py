@@ -30,7 +30,7 @@ def restorer(spark):
     return fit_restorer(spark.createDataFrame([(c + str(i),) for i, c in enumerate(clean)] + [(None,), ("",)], "clean_text string"), "clean_text")
 
 
-@pytest.mark.parametrize("chain", [c.name for c in all_chains() if c.true != "gbk" or c.wrong in ("cp1252", "latin_1", "cp949", "big5")])
+@pytest.mark.parametrize("chain", [c.name for c in all_chains() if c.true in ("utf-8", "cp1252") or c.true == "gbk" and c.wrong in ("cp1252", "latin_1", "cp949", "big5")])
 def test_each_chain_is_undone(restorer, chain):
     wrong, true = chain.split(">")
     tried = 0
@@ -48,6 +48,39 @@ def test_each_chain_is_undone(restorer, chain):
     assert tried or true == "cp1252" or wrong in ("gb18030", "big5", "cp949", "cp932")  # hardly any text survives these whole
 
 
+OTHERS = {
+    "big5": ["護理人員應觀察視物模糊的變化，並及時口服抗生素。", "老年慢性胃炎起病隱匿，皮膚瘙癢往往不明顯，容易漏診。"],
+    "cp932": ["看護師は患者の血圧を毎日測定し、記録してください。", "高齢者の胃炎は症状が目立たないことが多い。"],
+    "cp949": ["간호사는 환자의 혈압을 매일 측정하고 기록하십시오.", "노인의 위염은 증상이 뚜렷하지 않은 경우가 많다."],
+    "cp1251": ["Медсестра должна ежедневно измерять давление больного.", "У пожилых людей гастрит часто протекает незаметно."],
+    "koi8_r": ["Медсестра должна ежедневно измерять давление больного.", "У пожилых людей гастрит часто протекает незаметно."],
+}
+
+
+@pytest.fixture(scope="module")
+def polyglot(spark):
+    rng = random.Random(2)
+    every = [t for texts in OTHERS.values() for t in texts]
+    clean = ["".join(rng.sample(ZH, 3)) for _ in range(60)] + [" ".join(rng.sample(LATIN, 2)) for _ in range(40)] + [" ".join(rng.sample(every, 2)) for _ in range(200)]
+    return fit_restorer(spark.createDataFrame([(c + str(i),) for i, c in enumerate(clean)], "clean_text string"), "clean_text")
+
+
+@pytest.mark.parametrize("chain", [c.name for c in all_chains() if c.true in OTHERS])
+def test_every_true_encoding(polyglot, chain):
+    wrong, true = chain.split(">")
+    for text in OTHERS[true]:
+        assert polyglot.restore(text) is None
+        bad = garble(text, chain)
+        if bad is None or wrong in ("gbk", "big5", "cp949", "cp932"):
+            continue  # hardly any text survives these whole
+        found = polyglot.restore(bad)
+        assert found is not None, (text, bad)
+        if wrong in ("cp1252", "latin_1"):
+            assert found[0].split() == text.split() or true in ("cp932", "cp949", "big5")
+    if chain == "gbk>big5":
+        assert polyglot.restore(garble("護理人員應觀察變化", "gbk>big5"))[0] == "護理人員應觀察變化"
+
+
 def test_text_read_as_another_double_byte_encoding(restorer):
     survivors = [(t[:k], garble(t[:k], "gb18030>utf-8")) for t in ZH for k in range(4, 16)]
     survivors = [(t, bad) for t, bad in survivors if bad is not None and t.isalpha()]
