@@ -65,17 +65,30 @@ class Change:
     text: str
 
 
+#: A part of a text with its bytes (or, where those are single letters, the part itself).
+Span = tuple[int, int, bytes | str]
+
+
 @dataclass
-class Chain:
-    """``wrong``: the encoding the text was decoded with; ``true``: the encoding of its bytes.
+class Family:
+    """Chains that share where they look, as the text was decoded with the same encoding.
 
-    ``propose`` gives the parts whose bytes fit, from the text and its characters that clean records never show.
+    ``find`` gives the parts whose bytes fit, each with narrower ones to try if it can't be read, from the text and its
+    characters that clean records never show; ``chars``: without any of these in a text there are none.
     """
 
+    find: Callable[[str, set[str]], list[list[Span]]]
+    chars: frozenset[str] | None = None
+
+
+@dataclass
+class Chain:
+    """``wrong``: the encoding the text was decoded with; ``true``: the encoding of its bytes, read by ``read`` (None: not possible)."""
+
     wrong: str
     true: str
-    propose: Callable[[str, set[str]], Iterator[Change]]
-    needs: re.Pattern | None = None
+    family: Family
+    read: Callable[[bytes | str], str | None]
 
     @property
     def name(self) -> str:
@@ -86,6 +99,18 @@ def _char_class(chars: Iterable[str]) -> str:
     return "[" + "".join(re.escape(c) for c in chars) + "]"
 
 
+def _reader(true: str) -> Callable[[bytes], str | None]:
+    codec = _WIDER.get(true, true)
+
+    def read(raw: bytes) -> str | None:
+        try:
+            return raw.decode(codec)
+        except UnicodeDecodeError:
+            return None
+
+    return read
+
+
 def _utf8_in_single(codec: str) -> Chain:
     high = _high_half(codec)
     to_byte = {c: 0x80 + i for i, c in enumerate(high)}
@@ -96,36 +121,30 @@ def _utf8_in_single(codec: str) -> Chain:
     def decoded(m: re.Match) -> str:
         return bytes([to_byte[c] for c in m.group()]).decode("utf-8")
 
-    def propose(text: str, strange: set[str]) -> Iterator[Change]:
-        for m in runs.finditer(text):
-            try:
-                new = decoded(m)
-                for _ in range(3):  # text can be garbled more than once
-                    again = runs.sub(decoded, new)
-                    if again == new:
-                        break
-                    new = again
-                yield Change(m.start(), m.end(), new)
-            except UnicodeDecodeError:
-                continue
+    def read(part: str) -> str | None:
+        try:
+            new = runs.sub(decoded, part)
+            for _ in range(3):  # text can be garbled more than once
+                again = runs.sub(decoded, new)
+                if again == new:
+                    break
+                new = again
+            return new
+        except UnicodeDecodeError:
+            return None
 
-    return Chain(codec, "utf-8", propose, re.compile(of(0xC2, 0xF4)))
+    find = lambda text, _: [[(*m.span(), m.group())] for m in runs.finditer(text)]
+    return Chain(codec, "utf-8", Family(find, frozenset(high[0x42:0x75])), read)
 
 
-def _multi_in_single(codec: str, true: str) -> Chain:
+def _multi_in_single(codec: str) -> list[Chain]:
     high = _high_half(codec)
     to_byte = {c: 0x80 + i for i, c in enumerate(high)} | {chr(b): b for b in range(0x30, 0x7F)}
     lead, upper = _char_class(high[1:-1]), _char_class(high[:-1])
     runs = re.compile(f"{lead}{upper}(?:{lead}(?:{upper}|[@-~](?={lead})|[0-9]{lead}[0-9]))*")
-
-    def propose(text: str, strange: set[str]) -> Iterator[Change]:
-        for m in runs.finditer(text):
-            try:
-                yield Change(m.start(), m.end(), bytes([to_byte[c] for c in m.group()]).decode(_WIDER.get(true, true)))
-            except UnicodeDecodeError:
-                continue
-
-    return Chain(codec, true, propose, re.compile(f"{lead}{{2}}"))
+    find = lambda text, _: [[(*m.span(), bytes([to_byte[c] for c in m.group()]))] for m in runs.finditer(text)]
+    family = Family(find, frozenset(high[1:-1]))
+    return [Chain(codec, true, family, _reader(true)) for true in MULTI_TRUE]
 
 
 _UTF8_BYTES = re.compile(rb"(?:[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|\xf0[\x90-\xbf][\x80-\xbf]{2})+")
@@ -133,8 +152,9 @@ _NOT_ASCII = re.compile("[^\x00-\x7f�]+")
 
 
 def _utf8_in_multi(codec: str) -> Chain:
-    def propose(text: str, strange: set[str]) -> Iterator[Change]:
-        for run in _NOT_ASCII.finditer(text):
+    def find(text: str, strange: set[str]) -> list[list[Span]]:
+        out: list[list[Span]] = []
+        for run in _NOT_ASCII.finditer(text) if strange else ():
             if strange.isdisjoint(run.group()):
                 continue
             try:
@@ -146,66 +166,68 @@ def _utf8_in_multi(codec: str) -> Chain:
                     continue  # by chance, in running text of this encoding
                 try:
                     before, after = raw[: m.start()].decode(codec), raw[m.end() :].decode(codec)
-                    yield Change(run.start() + len(before), run.end() - len(after), m.group().decode("utf-8"))
+                    out.append([(run.start() + len(before), run.end() - len(after), m.group())])
                 except UnicodeDecodeError:
                     continue
+        return out
+
+    return Chain(codec, "utf-8", Family(find), _reader("utf-8"))
 
-    return Chain(codec, "utf-8", propose, _NOT_ASCII)
 
+_DOUBLE = re.compile("[가-힣｡-ﾟ㐀-鿿]{2}")
 
-def _multi_in_multi(codec: str, true: str) -> Chain:
-    def propose(text: str, strange: set[str]) -> Iterator[Change]:
-        for run in _NOT_ASCII.finditer(text):
+
+def _multi_in_multi(codec: str) -> list[Chain]:
+    wider = _WIDER.get(codec, codec)
+
+    def find(text: str, strange: set[str]) -> list[list[Span]]:
+        out: list[list[Span]] = []
+        for run in _NOT_ASCII.finditer(text) if strange and _DOUBLE.search(text) else ():
             part = run.group()
-            odd = [i for i, c in enumerate(part) if c in strange]
-            if len(part) < 3 or not odd:
+            if len(part) < 3 or strange.isdisjoint(part):
                 continue
+            odd = [i for i, c in enumerate(part) if c in strange]
+            ways: list[Span] = []
             # the whole run, or from its first to its last odd character, where the rest was never garbled
-            for a, b in ((0, len(part)), *((max(0, odd[0] - x), odd[-1] + 1 + y) for x in (1, 0) for y in (1, 0))):
+            for a, b in dict.fromkeys(((0, len(part)), *((max(0, odd[0] - x), min(len(part), odd[-1] + 1 + y)) for x in (1, 0) for y in (1, 0)))):
                 try:
-                    new = part[a:b].encode(_WIDER.get(codec, codec)).decode(true)
-                except UnicodeError:
+                    ways.append((run.start() + a, run.start() + b, part[a:b].encode(wider)))
+                except UnicodeEncodeError:
                     continue
-                if new != part[a:b]:
-                    yield Change(run.start() + a, run.start() + min(b, len(part)), new)
-                    break
+            if ways:
+                out.append(ways)
+        return out
 
-    return Chain(codec, true, propose, re.compile("[가-힣｡-ﾟ㐀-鿿]{2}"))
+    family = Family(find)
+    return [Chain(codec, true, family, _reader(true)) for true in MULTI_TRUE if true != codec]
 
 
-def _western_in_single(codec: str) -> Chain:
-    high = _high_half(codec)
-    western = _high_half("cp1252")
-    table = {c: western[i] for i, c in enumerate(high) if c != western[i] and (western[i].isalpha() or western[i] in "’‘“”–—°±«»²³µ§ß") and c not in NO_EVIDENCE}
-    chars = _char_class(table)
-    words = re.compile(f"(?:(?<=[A-Za-z0-9 ])|^){chars}{{1,3}}|{chars}{{1,3}}(?=[A-Za-z ])")
+def _mapped(codec: str, true: str, table: dict[str, str], pattern: str) -> Chain:
+    """A chain between encodings of single bytes, whose letters are read one by one."""
+    words = re.compile(pattern.replace("%", _char_class(table)))
+    find = lambda text, _: [[(*m.span(), m.group())] for m in words.finditer(text)]
+    return Chain(codec, true, Family(find, frozenset(table)), lambda part: "".join(table.get(c, c) for c in part))
 
-    def propose(text: str, strange: set[str]) -> Iterator[Change]:
-        for m in words.finditer(text):
-            yield Change(m.start(), m.end(), "".join(table[c] for c in m.group()))
 
-    return Chain(codec, "cp1252", propose, re.compile(chars))
+def _western_in_single(codec: str) -> Chain:
+    western = _high_half("cp1252")
+    table = {c: western[i] for i, c in enumerate(_high_half(codec)) if c != western[i] and (western[i].isalpha() or western[i] in "’‘“”–—°±«»²³µ§ß") and c not in NO_EVIDENCE}
+    return _mapped(codec, "cp1252", table, "(?:(?<=[A-Za-z0-9 ])|^)%{1,3}|%{1,3}(?=[A-Za-z ])")
 
 
 def _cyrillic_in_single(codec: str, true: str) -> Chain:
     """Runs of at least two letters, single spaces between, all of them Cyrillic in the true encoding."""
-    high, letters = _high_half(codec), _high_half(true)
-    table = {c: letters[i] for i, c in enumerate(high) if c != letters[i] and "Ѐ" <= letters[i] <= "ӿ"}
-    words = re.compile(f"{_char_class(table)}(?: ?{_char_class(table)})+")
-
-    def propose(text: str, strange: set[str]) -> Iterator[Change]:
-        for m in words.finditer(text):
-            yield Change(m.start(), m.end(), "".join(table.get(c, c) for c in m.group()))
-
-    return Chain(codec, true, propose, words)
+    letters = _high_half(true)
+    table = {c: letters[i] for i, c in enumerate(_high_half(codec)) if c != letters[i] and "Ѐ" <= letters[i] <= "ӿ"}
+    return _mapped(codec, true, table, "%(?: ?%)+")
 
 
 def all_chains() -> list[Chain]:
     return (
         [_utf8_in_single(c) for c in SINGLE_BYTE]
-        + [_multi_in_single(c, true) for true in MULTI_TRUE for c in SINGLE_BYTE if c != "cp866"]
+        + [chain for c in SINGLE_BYTE if c != "cp866" for chain in _multi_in_single(c)]
         + [_utf8_in_multi(c) for c in MULTI_BYTE]
-        + [_multi_in_multi(c, true) for true in MULTI_TRUE for c in ("cp949", "big5", "cp932", "gbk") if c != true]
+        + [chain for c in ("cp949", "big5", "cp932", "gbk") for chain in _multi_in_multi(c)]
         + [_western_in_single(c) for c in WESTERN_AS]
         + [_cyrillic_in_single(c, true) for true in CYRILLIC_TRUE for c in SINGLE_BYTE if c != true]
     )
@@ -222,7 +244,12 @@ class Restorer:
     margin: float = 8.0
     rounds: int = 3
     chains: list[Chain] = field(default_factory=list, repr=False)
-    seen: dict[str, bool] = field(default_factory=dict, repr=False)
+    seen: frozenset[str] = field(default_factory=frozenset, repr=False)
+
+    def __post_init__(self) -> None:
+        # characters of the first plane outside ASCII that occur in clean records; the others are asked for
+        points = np.arange(0x80, 0x10000, dtype=np.uint32)
+        self.seen = frozenset(map(chr, points[self.model.uni[uni_bucket(points)] > 0].tolist()))
 
     def state(self) -> tuple:
         """Plain arrays and numbers, to be broadcast; of fixed size."""
@@ -233,7 +260,7 @@ class Restorer:
         return cls(CharModel(state[0], state[1]), state[2], state[3])
 
     def _gains(self, text: str, changes: list[Change]) -> np.ndarray:
-        """Log-probability gained by each change within two characters of context; none where it reads no better known."""
+        """Log-probability gained by each change within two characters of context."""
         parts = []
         for c in changes:
             before, after = text[max(0, c.start - 2) : c.start], text[c.end : c.end + 2]
@@ -241,28 +268,50 @@ class Restorer:
         points = np.frombuffer(("\0" + "".join(parts)).encode("utf-32-le", "surrogatepass"), np.uint32)
         ends = np.flatnonzero(points == 0)
         sums = np.add.reduceat(self.model.log_probs(points), ends[:-1])
-        known = np.array([self._known(c.text) for c in changes])
-        return np.where(known, sums[1::2] - sums[0::2], 0.0)
+        return sums[1::2] - sums[0::2]
 
     def _seen(self, char: str) -> bool:
         """The character occurs in clean records."""
-        known = self.seen.get(char)
-        if known is None:
-            known = self.seen[char] = bool(self.model.uni[uni_bucket(np.uint32(ord(char)))] > 0)
-        return known
+        return char in self.seen or char > "\uffff" and bool(self.model.uni[uni_bucket(np.uint32(ord(char)))] > 0)
 
     def _known(self, text: str) -> bool:
-        """At least half of the characters outside ASCII occur in clean records."""
-        wide = [self._seen(c) for c in text if c > "\x7f"]
-        return bool(wide) and 2 * sum(wide) >= len(wide)
+        """At least half of the characters outside ASCII occur in clean records; a text without any doesn't count."""
+        wide = text if text.isascii() else [c for c in text if c > "\x7f"]
+        return not text.isascii() and 2 * sum(map(self._seen, wide)) >= len(wide)
 
     def proposals(self, text: str) -> list[tuple[Chain, list[Change], np.ndarray]]:
-        """What each chain would change, with the gain of each change."""
+        """What each chain would change to characters that are known, with the gain of each change."""
         if not self.chains:
             self.chains = all_chains()
-        strange = {c for c in set(text) if c > "\x7f" and not self._seen(c)}
-        found = [(chain, list(chain.propose(text, strange))) for chain in self.chains if chain.needs is None or chain.needs.search(text)]
-        found = [(chain, changes) for chain, changes in found if changes]
+        wide = {c for c in set(text) if c > "\x7f"}
+        strange = {c for c in wide if not self._seen(c)}
+        spans: dict[int, list[list[Span]]] = {}
+        reads: dict[tuple[str, bytes], tuple[str | None, bool]] = {}  # the same bytes come of several encodings
+        found: list[tuple[Chain, list[Change]]] = []
+        for chain in self.chains:
+            family = chain.family
+            if family.chars is not None and family.chars.isdisjoint(wide):
+                continue
+            if id(family) not in spans:
+                spans[id(family)] = family.find(text, strange)
+            changes = []
+            for ways in spans[id(family)]:
+                for start, end, raw in ways:
+                    if isinstance(raw, str):
+                        new = chain.read(raw)
+                        known = new is not None and self._known(new)
+                    else:
+                        key = (chain.true, raw)
+                        if key not in reads:
+                            new = chain.read(raw)
+                            reads[key] = new, new is not None and self._known(new)
+                        new, known = reads[key]
+                    if new is not None and new != text[start:end]:
+                        if known:
+                            changes.append(Change(start, end, new))
+                        break
+            if changes:
+                found.append((chain, changes))
         if not found:
             return []
         gains = self._gains(text, [c for _, changes in found for c in changes])
