@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -99,9 +100,8 @@ def _char_class(chars: Iterable[str]) -> str:
     return "[" + "".join(re.escape(c) for c in chars) + "]"
 
 
-def _reader(true: str) -> Callable[[bytes], str | None]:
-    codec = _WIDER.get(true, true)
-
+@lru_cache
+def _reader(codec: str) -> Callable[[bytes], str | None]:
     def read(raw: bytes) -> str | None:
         try:
             return raw.decode(codec)
@@ -144,7 +144,7 @@ def _multi_in_single(codec: str) -> list[Chain]:
     runs = re.compile(f"{lead}{upper}(?:{lead}(?:{upper}|[@-~](?={lead})|[0-9]{lead}[0-9]))*")
     find = lambda text, _: [[(*m.span(), bytes([to_byte[c] for c in m.group()]))] for m in runs.finditer(text)]
     family = Family(find, frozenset(high[1:-1]))
-    return [Chain(codec, true, family, _reader(true)) for true in MULTI_TRUE]
+    return [Chain(codec, true, family, _reader(_WIDER.get(true, true))) for true in MULTI_TRUE]
 
 
 _UTF8_BYTES = re.compile(rb"(?:[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|\xf0[\x90-\xbf][\x80-\xbf]{2})+")
@@ -286,7 +286,7 @@ class Restorer:
         wide = {c for c in set(text) if c > "\x7f"}
         strange = {c for c in wide if not self._seen(c)}
         spans: dict[int, list[list[Span]]] = {}
-        reads: dict[tuple[str, bytes], tuple[str | None, bool]] = {}  # the same bytes come of several encodings
+        reads: dict[tuple[Callable, bytes], tuple[str | None, bool]] = {}  # the same bytes come of several encodings
         found: list[tuple[Chain, list[Change]]] = []
         for chain in self.chains:
             family = chain.family
@@ -301,7 +301,7 @@ class Restorer:
                         new = chain.read(raw)
                         known = new is not None and self._known(new)
                     else:
-                        key = (chain.true, raw)
+                        key = (chain.read, raw)
                         if key not in reads:
                             new = chain.read(raw)
                             reads[key] = new, new is not None and self._known(new)
