@@ -15,7 +15,6 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -100,7 +99,6 @@ def _char_class(chars: Iterable[str]) -> str:
     return "[" + "".join(re.escape(c) for c in chars) + "]"
 
 
-@lru_cache
 def _reader(codec: str) -> Callable[[bytes], str | None]:
     def read(raw: bytes) -> str | None:
         try:
@@ -137,14 +135,14 @@ def _utf8_in_single(codec: str) -> Chain:
     return Chain(codec, "utf-8", Family(find, frozenset(high[0x42:0x75])), read)
 
 
-def _multi_in_single(codec: str) -> list[Chain]:
+def _multi_in_single(codec: str, readers: dict[str, Callable]) -> list[Chain]:
     high = _high_half(codec)
     to_byte = {c: 0x80 + i for i, c in enumerate(high)} | {chr(b): b for b in range(0x30, 0x7F)}
     lead, upper = _char_class(high[1:-1]), _char_class(high[:-1])
     runs = re.compile(f"{lead}{upper}(?:{lead}(?:{upper}|[@-~](?={lead})|[0-9]{lead}[0-9]))*")
     find = lambda text, _: [[(*m.span(), bytes([to_byte[c] for c in m.group()]))] for m in runs.finditer(text)]
     family = Family(find, frozenset(high[1:-1]))
-    return [Chain(codec, true, family, _reader(_WIDER.get(true, true))) for true in MULTI_TRUE]
+    return [Chain(codec, true, family, readers[_WIDER.get(true, true)]) for true in MULTI_TRUE]
 
 
 _UTF8_BYTES = re.compile(rb"(?:[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|\xf0[\x90-\xbf][\x80-\xbf]{2})+")
@@ -177,7 +175,7 @@ def _utf8_in_multi(codec: str) -> Chain:
 _DOUBLE = re.compile("[가-힣｡-ﾟ㐀-鿿]{2}")
 
 
-def _multi_in_multi(codec: str) -> list[Chain]:
+def _multi_in_multi(codec: str, readers: dict[str, Callable]) -> list[Chain]:
     wider = _WIDER.get(codec, codec)
 
     def find(text: str, strange: set[str]) -> list[list[Span]]:
@@ -199,7 +197,7 @@ def _multi_in_multi(codec: str) -> list[Chain]:
         return out
 
     family = Family(find)
-    return [Chain(codec, true, family, _reader(true)) for true in MULTI_TRUE if true != codec]
+    return [Chain(codec, true, family, readers[true]) for true in MULTI_TRUE if true != codec]
 
 
 def _mapped(codec: str, true: str, table: dict[str, str], pattern: str) -> Chain:
@@ -223,11 +221,13 @@ def _cyrillic_in_single(codec: str, true: str) -> Chain:
 
 
 def all_chains() -> list[Chain]:
+    # one reader for an encoding: what it read once holds for all chains
+    readers = {codec: _reader(codec) for codec in (*MULTI_TRUE, *_WIDER.values())}
     return (
         [_utf8_in_single(c) for c in SINGLE_BYTE]
-        + [chain for c in SINGLE_BYTE if c != "cp866" for chain in _multi_in_single(c)]
+        + [chain for c in SINGLE_BYTE if c != "cp866" for chain in _multi_in_single(c, readers)]
         + [_utf8_in_multi(c) for c in MULTI_BYTE]
-        + [chain for c in ("cp949", "big5", "cp932", "gbk") for chain in _multi_in_multi(c)]
+        + [chain for c in ("cp949", "big5", "cp932", "gbk") for chain in _multi_in_multi(c, readers)]
         + [_western_in_single(c) for c in WESTERN_AS]
         + [_cyrillic_in_single(c, true) for true in CYRILLIC_TRUE for c in SINGLE_BYTE if c != true]
     )
