@@ -3,16 +3,19 @@
 1. One pass counts words and word pairs of all texts, and how often the words that glyph confusions
    could concern stand near which others. From the last, skip-gram vectors with negative sampling
    are learnt; the counts of all pairs stand in for a run over the corpus, whose expected loss they
-   determine.
+   determine. A word's vector is the sum of its contexts' vectors, so a word seen once has one too, and
+   so has each single occurrence.
 2. A rare word is linked to a frequent one if a plausible glyph edit leads from one to the other and
-   their vectors agree; in Chinese, where nothing marks words, the two words are the pairs that a
-   character makes with its neighbours. A link is used only where it fits the words around.
+   they are neighbours by their vectors, that of the rare word in all its contexts or in this one;
+   among several, the nearest is taken. In Chinese, where nothing marks words, the two words are the
+   pairs that a character makes with its neighbours. A link is used only where it fits the words
+   around. Letters in place of digits are told by the numbers around them, as numbers are no words.
 3. Running headers, footers and page numbers are removed, words broken at a line end joined, and the
    lines of a paragraph joined.
 
 Defined results: null and empty texts are not affected; layout alone (lists, small tables, line
 breaks) is no noise; one misread character is corrected but does not make a text noisy; hyphens of
-compounds stay; repeated rows give repeated rows.
+compounds stay; words of more than ``LONGEST`` letters stand as they are; repeated rows give repeated rows.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from silkmill.llm.batches import run_of_texts
 from silkmill.llm.lookalikes import LOOKALIKES, plain_forms, quick_form
 from silkmill.llm.tokens import NUMBER, Tokens, bucket, pair_hash, summed_tables, texts_of, word_hash
 
-UNI_BITS, PAIR_BITS, CENTER_BITS, CONTEXT_BITS, DIM = 20, 21, 14, 8, 16
+UNI_BITS, PAIR_BITS, CENTER_BITS, CONTEXT_BITS, DIM = 20, 21, 15, 8, 16
 
 # Ideographs that scanning confuses, in either direction.
 GLYPHS = (
@@ -44,6 +47,8 @@ LATIN_EDITS = (("5", "s"), ("1", "l"), ("0", "o"), ("c", "e"), ("l", "i"), ("ii"
 # Letters read in place of digits.
 DIGIT_EDITS = {"l": "1", "I": "1", "O": "0", "o": "0"}
 
+#: The least cosine of the vectors of linked words, and the longest word that glyph edits are looked for in.
+AGREE, LONGEST = 0.2, 40
 #: A correction must be so many times likelier (logarithm) than the text as it stands.
 ODDS = 3.5
 RATIO = 20.0
@@ -61,11 +66,11 @@ def _alternatives() -> list[np.ndarray]:
 
 def _centers(points: np.ndarray, t: Tokens, involved: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the words that links can concern, with their first and last token: pairs with a confusable
-    ideograph, and Latin words in lower case (no names)."""
+    ideograph, and Latin words."""
     head = points[t.start]
     wide = involved[np.minimum(head, 0xFFFF)] & ~t.word
     together = np.flatnonzero((wide[:-1] | wide[1:]) & (t.row[:-1] == t.row[1:])) if len(head) > 1 else np.zeros(0, np.int64)
-    single = np.flatnonzero(t.word & (head >= 97) & (t.end - t.start > 2))
+    single = np.flatnonzero(t.word & (t.hash != NUMBER) & (t.end - t.start > 2))
     hashes = np.concatenate([pair_hash(t.hash[together], t.hash[np.minimum(together + 1, len(head) - 1)]), t.hash[single]])
     return hashes, np.concatenate([together, single]), np.concatenate([together + 1, single])
 
@@ -99,23 +104,22 @@ def _counter() -> Callable[[pa.Array, list[np.ndarray]], None]:
     return add
 
 
-def skip_gram_vectors(near: np.ndarray, dim: int = DIM, negative: float = 5.0, rounds: int = 40, seed: int = 7) -> np.ndarray:
-    """Unit vectors of the rows of a table of (word, context) counts, by skip-gram with negative sampling.
+def context_vectors(near: np.ndarray, dim: int = DIM, negative: float = 5.0, rounds: int = 40, seed: int = 7) -> np.ndarray:
+    """Vectors of the columns of a table of (word, context) counts, by skip-gram with negative sampling.
 
     The loss of sampling contexts from the corpus depends on the counts alone, so its expectation is
-    descended directly; each word weighs the same, so rare words are learnt as well as frequent ones.
+    descended directly; each word weighs the same, so rare words are learnt from as well as frequent ones.
     """
     total = near.sum(axis=1, keepdims=True)
     used = np.flatnonzero(total[:, 0] > 0)
-    out = np.zeros((len(near), dim), np.float32)
+    rng = np.random.default_rng(seed)
+    words = rng.normal(0, 0.1, (len(used), dim)).astype(np.float32)
+    contexts = rng.normal(0, 0.1, (near.shape[1], dim)).astype(np.float32)
     if not len(used):
-        return out
+        return contexts
     observed = near[used] / total[used]
     noise = near.sum(axis=0, keepdims=True) ** 0.75
     noise = (negative * noise / noise.sum()).astype(np.float32)
-    rng = np.random.default_rng(seed)
-    words = rng.normal(0, 0.1, (len(used), dim)).astype(np.float32)
-    contexts = rng.normal(0, 0.1, (near.shape[1], dim)).astype(np.float32)
     moments = [np.zeros_like(words), np.zeros_like(words), np.zeros_like(contexts), np.zeros_like(contexts)]
     for step in range(1, rounds + 1):
         pull = 1.0 / (1.0 + np.exp(-(words @ contexts.T)))
@@ -125,8 +129,20 @@ def skip_gram_vectors(near: np.ndarray, dim: int = DIM, negative: float = 5.0, r
             m += 0.1 * (grad - m)
             v += 0.01 * (grad * grad - v)
             table += 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
-    out[used] = words / np.maximum(np.linalg.norm(words, axis=1, keepdims=True), 1e-6)
-    return out
+    return contexts
+
+
+def word_vectors(near: np.ndarray, rounds: int = 40) -> tuple[np.ndarray, np.ndarray]:
+    """(vectors, contexts) of a table of (word, context) counts: unit vectors of the rows, the sums of their contexts'
+    vectors, and these, taken from the mean of all contexts, so that words without anything in common are at right
+    angles. Zero for words without context."""
+    contexts, total = context_vectors(near, rounds=rounds), near.sum(axis=0)
+    contexts = contexts - (total / max(float(total.sum()), 1.0)) @ contexts
+    return _unit(near @ contexts), contexts.astype(np.float32)
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
+    return (rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-6)).astype(np.float32)
 
 
 @dataclass
@@ -137,16 +153,16 @@ class Lexicon:
     twin: np.ndarray
     pair: np.ndarray
     vectors: np.ndarray
-    weight: np.ndarray
+    contexts: np.ndarray
     alternatives: list[np.ndarray] = field(default_factory=_alternatives, repr=False)
     total: float = 0.0
-    cache: dict[str, tuple[str, int] | None] = field(default_factory=dict, repr=False)
+    cache: dict[str, list[tuple[str, int, np.uint64]]] = field(default_factory=dict, repr=False)
 
     def __post_init__(self) -> None:
         self.total = float(self.uni.sum())
 
     def state(self) -> tuple:
-        return self.uni, self.twin, self.pair, self.vectors, self.weight
+        return self.uni, self.twin, self.pair, self.vectors, self.contexts
 
     def words(self, hashes: np.ndarray) -> np.ndarray:
         return np.minimum(self.uni[bucket(hashes, UNI_BITS)], self.twin[bucket(twin_hash(hashes), UNI_BITS)])
@@ -160,11 +176,25 @@ class Lexicon:
     def together(self, first: str, second: str) -> float:
         return float(self.pairs(np.array([word_hash(first)], np.uint64), np.array([word_hash(second)], np.uint64))[0])
 
-    def agree(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """Vectors of two words point the same way, or one is too rare to have learnt one."""
-        a, b = bucket(first, CENTER_BITS), bucket(second, CENTER_BITS)
-        cosine = (self.vectors[a] * self.vectors[b]).sum(axis=1)
-        return (cosine > 0.2) | (np.minimum(self.weight[a], self.weight[b]) < 12)
+    def around(self, t: Tokens, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Vectors of single occurrences of words, from their first to their last token."""
+        context = bucket(t.hash, CONTEXT_BITS)
+        sums = np.zeros((len(first), self.contexts.shape[1]), np.float32)
+        for at in (first - 2, first - 1, last + 1, last + 2):
+            inside = np.clip(at, 0, len(context) - 1)
+            ok = (at == inside) & (t.row[inside] == t.row[first])
+            sums[ok] += self.contexts[context[inside[ok]]]
+        return _unit(sums)
+
+    def nearness(self, old: np.ndarray, new: np.ndarray, here: np.ndarray) -> np.ndarray:
+        """The cosine of words' vectors with those of the words they may stand for: of all their occurrences or of the one
+        that ``here`` is the vector of, whichever is greater."""
+        target = self.vectors[bucket(new, CENTER_BITS)]
+        return np.maximum((self.vectors[bucket(old, CENTER_BITS)] * target).sum(axis=1), (here * target).sum(axis=1))
+
+    def agree(self, old: np.ndarray, new: np.ndarray, here: np.ndarray) -> np.ndarray:
+        """The words stand in like contexts."""
+        return self.nearness(old, new, here) > AGREE
 
     def misread_ideographs(self, points: np.ndarray, t: Tokens) -> list[tuple[int, str]]:
         """(token, what stands there) of the characters that another one fits far better between its neighbours.
@@ -200,8 +230,10 @@ class Lexicon:
                 odds = np.log((then_left + 0.5) * (then_right + 0.5)) - now[k]
                 ok = np.flatnonzero((odds > best[k]) & (np.maximum(then_left, then_right) >= 4))
                 k, odds = k[ok], odds[ok]
-                linked = (then_left[ok] > now_left[k]) & self.agree(pair_hash(left[ok], old[ok]), pair_hash(left[ok], new[ok]))
-                linked |= (then_right[ok] > now_right[k]) & self.agree(pair_hash(old[ok], right[ok]), pair_hash(new[ok], right[ok]))
+                here = candidates[k]
+                linked = as_digit[here].copy()
+                linked |= (then_left[ok] > now_left[k]) & self.agree(pair_hash(left[ok], old[ok]), pair_hash(left[ok], new[ok]), self.around(t, before[k], here))
+                linked |= (then_right[ok] > now_right[k]) & self.agree(pair_hash(old[ok], right[ok]), pair_hash(new[ok], right[ok]), self.around(t, here, after[k]))
                 k, odds = k[linked], odds[linked]
                 best[k], choice[k] = odds, other[k]
             changed = np.flatnonzero(choice)
@@ -233,54 +265,79 @@ class Lexicon:
         then_right = np.where(has_after, self.pairs(fixed[at], fixed[after]), 0.0)
         return np.log((then_left + 0.5) * (then_right + 0.5)) + ODDS >= np.log((now_left + 0.5) * (now_right + 0.5))
 
-    def reading(self, word: str) -> tuple[str, int] | None:
-        """The frequent word that a rare one was misread from, and the number of misread characters; None: it stands."""
+    def readings(self, word: str) -> list[tuple[str, int, np.uint64 | None]]:
+        """What a rare word may have been misread from: a frequent word, the number of misread characters and its hash; a
+        number has no hash. Empty: it stands."""
         if word not in self.cache:
             if len(self.cache) > 500_000:
                 self.cache.clear()
-            self.cache[word] = self._reading(word)
+            self.cache[word] = self._readings(word)
         return self.cache[word]
 
-    def _reading(self, word: str) -> tuple[str, int] | None:
+    def _readings(self, word: str) -> list[tuple[str, int, np.uint64 | None]]:
         letters = [c for c in word if not c.isdigit()]
         if len(letters) < len(word) and letters and all(c in DIGIT_EDITS for c in letters):
             if self.word(word.lower()) * RATIO < float(self.words(np.array([NUMBER]))[0]):
-                return "".join(DIGIT_EDITS.get(c, c) for c in word), len(letters)
-            return None
+                return [("".join(DIGIT_EDITS.get(c, c) for c in word), len(letters), None)]
+            return []
         low = word.lower()
         if mixed := _NUMBER_AND_UNIT.fullmatch(word):
             number, unit = mixed.groups()
             wrong = [c for c in number if c in DIGIT_EDITS]
             fixed = "".join(DIGIT_EDITS.get(c, c) for c in number) + unit
             if wrong and len(wrong) < len(number) and self.word(fixed.lower()) >= 8 and self.word(fixed.lower()) > RATIO * self.word(low):
-                return fixed, len(wrong)
-        if len(low) < 3 or not letters:
-            return None
+                return [(fixed, len(wrong), None)]
+        if len(low) < 3 or len(low) > LONGEST or not letters:
+            return []
         name = int(word[0].isupper())  # a capital is not misread like its small letter
         tried, level = {low: 0}, [low]
         for edits in (1, 2, 3):
-            level = [w[:k] + new + w[k + len(old) :] for w in level for old, new in LATIN_EDITS for k in range(name, len(w)) if w.startswith(old, k)][:400]
+            level = [w[:k] + new + w[k + len(old) :] for w in level for old, new in LATIN_EDITS for k in range(name, len(w)) if w.startswith(old, k)]
             level = [w for w in dict.fromkeys(level) if w not in tried]
             tried |= dict.fromkeys(level, edits)
         others = [w for w in tried if w != low]
         if not others:
-            return None
-        hashes = np.array([word_hash(w) for w in [low, *others]], np.uint64)
+            return []
+        hashes = texts_of(pa.array([low, *others]))[2].hash
         counts = self.words(hashes)
         fits = np.flatnonzero((counts[1:] >= 8 + 2e-6 * self.total) & (counts[1:] > RATIO * counts[0]))
-        fits = fits[self.agree(np.repeat(hashes[:1], len(fits)), hashes[1 + fits])] if len(fits) else fits
-        if not len(fits):
-            return None
-        best = max(fits, key=lambda k: (-tried[others[k]], counts[1 + k]))
-        new = others[best]
-        return (new.capitalize() if word[0].isupper() else new), tried[new]
+        return [(others[k].capitalize() if word[0].isupper() else others[k], tried[others[k]], hashes[1 + k]) for k in fits]
+
+    def misread_words(self, points: np.ndarray, t: Tokens) -> list[tuple[int, str, int]]:
+        """(token, what stands there, misread characters) of the rare Latin words that are linked to a frequent one."""
+        words = np.flatnonzero(t.word & (t.end - t.start > 1) & (t.hash != NUMBER))
+        rare = words[self.words(t.hash[words]) < self.total * 2e-5 + 50]
+        spelled = lambda i: points[t.start[i] : t.end[i]].tobytes().decode("utf-32-le")
+        unique, first = np.unique(t.hash[rare], return_index=True)
+        some = [h for h, k in zip(unique, first, strict=True) if self.readings(spelled(rare[k]))]
+        if not some:
+            return []
+        at = [(int(i), r) for i in rare[np.isin(t.hash[rare], np.array(some, np.uint64))] for r in self.readings(spelled(i))]
+        if not at:
+            return []
+        token = np.array([i for i, _ in at])
+        number = np.array([r[2] is None for _, r in at])
+        new = np.array([word_hash(r[0].lower()) if r[2] is None else r[2] for _, r in at], np.uint64)
+        here = self.around(t, token, token)
+        kept = number | self.agree(t.hash[token], new, here)
+        near = self.nearness(t.hash[token], new, here)
+        best: dict[int, int] = {}
+        for k in np.flatnonzero(kept):
+            i, (_, edits, _) = at[k]
+            if i not in best or (-edits, near[k]) > (-at[best[i]][1][1], near[best[i]]):
+                best[i] = int(k)
+        chosen = np.array(sorted(best.values()), np.int64)
+        if not len(chosen):
+            return []
+        fit = self.fit_around(t, token[chosen], new[chosen])
+        return [(at[k][0], at[k][1][0], at[k][1][1]) for k in chosen[fit]]
 
 
 def fit_lexicon(texts: DataFrame) -> Lexicon:
     """From all rows of the column ``text``."""
     uni, twin, pair, near = summed_tables(texts, [1 << UNI_BITS, 1 << UNI_BITS, 1 << PAIR_BITS, 1 << (CENTER_BITS + CONTEXT_BITS)], _counter())
     near = near.reshape(1 << CENTER_BITS, 1 << CONTEXT_BITS)
-    return Lexicon(uni, twin, pair, skip_gram_vectors(near), near.sum(axis=1))
+    return Lexicon(uni, twin, pair, *word_vectors(near))
 
 
 _NUMBER_AND_UNIT = re.compile(r"([0-9lIOo]+)([a-z]*)")
@@ -506,26 +563,8 @@ def _repairer(shared: object, excluded: Callable[[], Callable[[str, str], bool]]
             amount: dict[int, int] = {}
             for i, new in lexicon.misread_ideographs(points, t):
                 note(i, new, 1)
-            words = np.flatnonzero(t.word & (t.end - t.start > 1) & (t.hash != NUMBER))
-            rare = words[lexicon.words(t.hash[words]) < lexicon.total * 2e-5 + 50]
-            unique, first = np.unique(t.hash[rare], return_index=True)
-            read = {}
-            for h, k in zip(unique, first, strict=True):
-                i = rare[k]
-                word = points[t.start[i] : t.end[i]].tobytes().decode("utf-32-le")
-                if (new := lexicon.reading(word)) is not None:
-                    read[h] = word
-            if read:
-                linked = []
-                for i in rare[np.isin(t.hash[rare], np.array(list(read), np.uint64))]:
-                    word = points[t.start[i] : t.end[i]].tobytes().decode("utf-32-le")
-                    if (new := lexicon.reading(word)) is not None:
-                        linked.append((int(i), *new))
-                if linked:
-                    fit = lexicon.fit_around(t, np.array([i for i, _, _ in linked]), np.array([word_hash(new) for _, new, _ in linked], np.uint64))
-                    for link, fits in zip(linked, fit, strict=True):
-                        if fits:
-                            note(*link)
+            for link in lexicon.misread_words(points, t):
+                note(*link)
             marks = np.flatnonzero(np.isin(points, np.array([ord(c) for c in "-¬‐­"], np.uint32)))
             spaced = marks[(marks + 1 < len(points)) & np.isin(points[np.minimum(marks + 1, len(points) - 1)], np.array([32, 10, 13], np.uint32))]
             look = set((np.searchsorted(starts, spaced, side="right") - 1).tolist()) | set(fixes)

@@ -4,6 +4,7 @@ import random
 import re
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -14,7 +15,7 @@ from silkmill.llm.batches import run_of_texts
 from silkmill.llm.charmodel import CharModel
 from silkmill.llm.lookalikes import find_lookalikes, quick_form
 from silkmill.llm.mojibake import Restorer, all_chains, find_garbled, fit_restorer, garble
-from silkmill.llm.scanned import Repairer, fit_lexicon, reflow, repair_scans, shared_titles, skip_gram_vectors, titles_by_book
+from silkmill.llm.scanned import Repairer, fit_lexicon, reflow, repair_scans, shared_titles, titles_by_book, word_vectors
 from silkmill.llm.splitting import body_pattern, pieces, read_limits, split_texts
 from silkmill.llm.tokens import texts_of, word_hash
 
@@ -269,19 +270,48 @@ def test_reflow_and_titles(spark, scans):
 
 
 def test_vectors_bring_like_words_together():
-    import numpy as np
-
     near = np.zeros((6, 16), np.float32)
     near[0, :4] = near[1, :4] = 50
     near[2, 8:12] = near[3, 8:12] = 50
     near[4, :4] = 2
-    v = skip_gram_vectors(near, rounds=120)
-    assert v[0] @ v[1] > 0.9 > 0.3 > v[0] @ v[2] and v[0] @ v[4] > 0.8 and not v[5].any()
+    v, _ = word_vectors(near, rounds=120)
+    assert v[0] @ v[1] > 0.9 > 0.2 > v[0] @ v[2] and v[0] @ v[4] > 0.8 and not v[5].any()
+
+
+def test_vectors_decide(spark, monkeypatch):
+    """Rare words a glyph edit from frequent ones: those in like contexts are misread, the others are words of their own."""
+    from silkmill.llm.scanned import Lexicon
+
+    rng = random.Random(7)
+    ward, zoo, sea = "patients doctors nurses ward clinic voices clearly softly".split(), "polar grizzly forest honey claws winter sleeping snow".split(), "harbour sailors waves storm anchor deck tide coast".split()
+    said = lambda words, middle: f"{rng.choice(words)} {rng.choice(words)} {middle} {rng.choice(words)} {rng.choice(words)}."
+    # pairs of neighbours are all rare alike, so that counts of pairs decide nothing
+    texts = [said(ward, "hear") for _ in range(600)] + [said(sea, "float") for _ in range(600)] + [said(zoo, "bear") for _ in range(12)] + [said(ward, "fioat") for _ in range(3)]
+    texts += [said(zoo, "eats") for _ in range(300)]
+    misread = [said(ward, "hcar") for _ in range(8)] + [said(sea, "f1oat") for _ in range(8)] + [said(sea, "floaf") for _ in range(2)]
+    own = [t for t in texts if "bear" in t or "fioat" in t]
+    rows = [("content", i, f"{t} {t}", None, None) for i, t in enumerate([*misread, *own])]
+    df = spark.createDataFrame(rows, ROW + ", page int, book string")
+    lexicon = fit_lexicon(spark.createDataFrame([(t,) for t in [*texts, *misread]], "text string"))
+    found = lambda: {r["row_id"] for r in repair_scans(df, lexicon, []).collect()}
+    assert found() == set(range(len(misread)))
+    fixed = {r["row_id"]: r["repaired"] for r in repair_scans(df, lexicon, []).collect()}
+    assert all(("hear" if i < 8 else "float") in fixed[i] for i in fixed)
+    monkeypatch.setattr(Lexicon, "agree", lambda self, old, new, here: np.ones(len(old), bool))
+    assert len(found() - set(range(len(misread)))) >= 10  # without vectors, words of their own are taken for misread ones
+
+
+def test_long_words_are_tried_whole(spark):
+    long = "behandlungsverfahrensbeschreibungsleitlinien"[:38]
+    texts = [f"Eine {long} ist hier gut." for _ in range(40)]
+    lexicon = fit_lexicon(spark.createDataFrame([(t,) for t in [*texts, texts[0].replace(long, long[:-1] + "h")]], "text string"))
+    bad = long[:30] + long[30:].replace("i", "1").replace("l", "1")
+    assert bad != long and lexicon.word(bad) == 0
+    seen = fit_lexicon(spark.createDataFrame([(t,) for t in texts + [f"Eine {bad} ist hier gut."]], "text string"))
+    assert seen.readings(bad)[0][0] == long and seen.readings("l" * 41 + "1") == []
 
 
 def test_model_counts_everything(spark):
-    import numpy as np
-
     from silkmill.llm.charmodel import fit_char_model
 
     m = fit_char_model(spark.createDataFrame([("ab",), ("ab",), (None,)], "t string").repartition(3), "t")
