@@ -14,7 +14,7 @@ from silkmill.llm.mojibake import Restorer, find_garbled, fit_restorer
 from silkmill.llm.near_copies import all_pairs, classes_with_links, near_copies
 from silkmill.llm.packing import count_tokens, fill_report, pack_documents
 from silkmill.llm.scanned import fit_lexicon, repair_scans, shared_titles, titles_by_book
-from silkmill.llm.splitting import read_limits, split_texts
+from silkmill.llm.splitting import BOUNDARIES, read_limits, split_texts
 from silkmill.llm.subjects import assign_subjects, fit_subjects, with_labels
 from silkmill.session import broadcast_if_small, cut, few_rows, read_table
 
@@ -168,16 +168,38 @@ def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_classes, p4_found, p4_pieces, p5_found, p5_one_form, p6_found, p6_repaired, p7_containers, p7_fill, p8_mixture, p8_shares, p9_found, p9_composition)}
-ORACLES: dict[str, str] = {
-    "p2_found": r"""
-        WITH t AS (SELECT DISTINCT 'question' AS field, example_id AS id, question AS text FROM all_function_res_qas
+#: Questions of both fields with their sets of three-character sequences, and pairs of different ids that share any.
+_GRAMS = r"""t AS (SELECT DISTINCT 'question' AS field, example_id AS id, question AS text FROM all_function_res_qas
                 UNION SELECT 'q', q_ids[i], q[i] FROM qa_sets, unnest(generate_series(1, len(q))) AS s(i)),
             n AS (SELECT field, id, regexp_replace(lower(text), '[^\p{L}\p{N}]', '', 'g') AS text FROM t WHERE text IS NOT NULL AND id IS NOT NULL),
             g AS (SELECT DISTINCT field, id, substr(text, CAST(i AS INT), 3) AS gram FROM n, unnest(generate_series(1, length(text) - 2)) AS s(i)),
             c AS (SELECT field, id, count(*) AS size FROM g GROUP BY field, id),
-            p AS (SELECT a.field, a.id AS id_a, b.id AS id_b, count(*) AS shared FROM g a JOIN g b ON a.field = b.field AND a.gram = b.gram AND a.id < b.id GROUP BY ALL)
-        SELECT p.field, id_a, id_b FROM p JOIN c x ON x.field = p.field AND x.id = id_a JOIN c y ON y.field = p.field AND y.id = id_b
-        WHERE shared >= 0.6 * (x.size + y.size - shared)""",
+            p AS (SELECT a.field, a.id AS id_a, b.id AS id_b, count(*) AS shared FROM g a JOIN g b ON a.field = b.field AND a.gram = b.gram AND a.id < b.id GROUP BY ALL),
+            near AS (SELECT p.field, id_a, id_b FROM p JOIN c x ON x.field = p.field AND x.id = id_a JOIN c y ON y.field = p.field AND y.id = id_b WHERE shared >= 0.6 * (x.size + y.size - shared))"""
+
+
+def _pieces_sql() -> str:
+    """The pieces of oversized texts: at each step the farthest boundary of the strongest kind in reach, first with half a piece
+    filled, then with the overlap; RE2 counts to 1,000 at most, so that boundaries are looked for in lists of their places."""
+    found = lambda low, b: f"list_max(list_filter(list_transform(generate_series({low}, room - 5), lambda k: CASE WHEN regexp_matches(substr(rest, CAST(k + 1 AS INT), 8), '(?s)^(?:{b})') THEN k + length(regexp_extract(substr(rest, CAST(k + 1 AS INT), 8), '(?s)^(?:{b})')) END), lambda e: e IS NOT NULL))"
+    reach = ", ".join(found(low, b.replace("'", "''")) for low in ("half", "least") for b in BOUNDARIES)
+    plain = r"list_max(list_filter(generate_series(least, room), lambda k: NOT regexp_matches(substr(rest, CAST(k + 1 AS INT), 1), '\p{M}')))"
+    return f"""WITH RECURSIVE v AS (SELECT DISTINCT field, row_id, text, max_chars - overlap_chars AS room, overlap_chars AS o FROM (
+            SELECT 'content' AS field, para_id AS row_id, content AS text FROM titled_paragraphs UNION ALL SELECT 'page_content', chunk_id, page_content FROM pdf_chunks) JOIN split_limits USING (field) WHERE length(text) > max_chars),
+        b AS (SELECT *, greatest(1, o) AS least, greatest(o, room // 2, 1) AS half FROM v),
+        f AS (SELECT field, row_id, text AS rest, room, o, least, half, -1 AS piece_no, '' AS before, '' AS piece FROM b
+            UNION ALL SELECT field, row_id, substr(rest, CAST(n + 1 AS INT)), room, o, least, half, piece_no + 1, substr(rest, 1, CAST(n AS INT)), right(before, o) || substr(rest, 1, CAST(n AS INT))
+            FROM (SELECT *, CASE WHEN length(rest) <= room THEN length(rest) ELSE coalesce({reach}, {plain}, room) END AS n FROM f WHERE length(rest) > 0))
+       SELECT field, row_id, CAST(piece_no AS INT) AS piece_no, piece FROM f WHERE piece_no >= 0"""
+
+
+ORACLES: dict[str, str] = {
+    "p2_found": f"WITH {_GRAMS} SELECT field, id_a, id_b FROM near",
+    "p2_classes": f"""WITH {_GRAMS}, k AS (SELECT field, id, min(id) OVER (PARTITION BY field, text) AS class_id FROM n WHERE length(text) >= 3),
+            l AS (SELECT a.field, a.class_id AS a, b.class_id AS b FROM near JOIN k a ON a.field = near.field AND a.id = id_a JOIN k b ON b.field = near.field AND b.id = id_b WHERE a.class_id <> b.class_id),
+            m AS (SELECT field, class_id, count(DISTINCT other) AS n FROM (SELECT field, a AS class_id, b AS other FROM l UNION ALL SELECT field, b, a FROM l) GROUP BY field, class_id)
+        SELECT k.field, id, k.class_id, coalesce(m.n, 0) AS n_links FROM k LEFT JOIN m ON m.field = k.field AND m.class_id = k.class_id""",
+    "p4_pieces": _pieces_sql(),
     "p4_found": """
         SELECT DISTINCT field, row_id FROM (
             SELECT 'content' AS field, para_id AS row_id, content AS text FROM titled_paragraphs
