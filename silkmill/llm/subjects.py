@@ -32,7 +32,7 @@ from silkmill.session import cut
 
 FEATURE_BITS, DIM = 16, 16
 #: Texts of a slice, parts of the texts that steps take in turn, and features per block of a gradient.
-SLICE, STRIPES, BLOCK = 500, 2, 4096
+SLICE, STRIPES, BLOCK = 500, 4, 4096
 #: Labelled documents that the model is fitted on, at most; and the partitions that share them.
 LABELLED, PARTITIONS = 20_000, 8
 #: Weight decay; how much likelier (logarithm of the odds) a label of the document makes a sentence's subject; length of a step.
