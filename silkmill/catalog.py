@@ -290,14 +290,17 @@ def _sections_sql() -> str:
     return ", ".join(out)
 
 
+MARK = dict(X.SECTIONS)
+
+
 @query(
-    f"""SELECT para_id, {_sections_sql()} FROM (SELECT para_id, '疾病：' || coalesce(first_title, '') || chr(10) || '病情描述（发病时间、主要症状、就诊医院等）：' || chr(10) || coalesce(content, '')
-        || CASE WHEN pos % 2 = 0 THEN chr(10) || '曾经治疗情况和效果：' || coalesce(second_title, '') ELSE '' END || chr(10) || '想得到怎样的帮助：：' || para_id AS t FROM {PARAS})"""
+    f"""SELECT para_id, {_sections_sql()} FROM (SELECT para_id, '{MARK["disease"]}' || coalesce(first_title, '') || chr(10) || '{MARK["detail"]}：' || chr(10) || coalesce(content, '')
+        || CASE WHEN pos % 2 = 0 THEN chr(10) || '{MARK["past_treatment"]}：' || coalesce(second_title, '') ELSE '' END || chr(10) || '{MARK["purpose"]}：：' || para_id AS t FROM {PARAS})"""
 )
 def section_parse(s: SparkSession, d: str) -> DataFrame:
     none = lambda c: F.coalesce(c, F.lit(""))
-    treated = F.when(F.col("pos") % 2 == 0, F.concat(F.lit("\n曾经治疗情况和效果："), none("second_title"))).otherwise("")
-    t = F.concat(F.lit("疾病："), none("first_title"), F.lit("\n病情描述（发病时间、主要症状、就诊医院等）：\n"), none("content"), treated, F.lit("\n想得到怎样的帮助：："), F.col("para_id").cast("string"))
+    treated = F.when(F.col("pos") % 2 == 0, F.concat(F.lit(f"\n{MARK['past_treatment']}："), none("second_title"))).otherwise("")
+    t = F.concat(F.lit(f"{MARK['disease']}"), none("first_title"), F.lit(f"\n{MARK['detail']}：\n"), none("content"), treated, F.lit(f"\n{MARK['purpose']}：："), F.col("para_id").cast("string"))
     return paras(s, d).select("para_id", X.sections(t).alias("p")).select("para_id", "p.*")
 
 
@@ -337,17 +340,23 @@ def short_coalesce(s: SparkSession, d: str) -> DataFrame:
     return sections.coalesce_shorts(paras(s, d), "book_id", ["pos", "para_id"], "content", ["first_title"], block=F.floor(F.col("pos") / BLOCK))
 
 
+#: Name of a part of a dialogue record to what its first line begins with.
+HEAD = {name: prefix for prefix, name in sections.HEADERS}
 LINES = f"""(SELECT 'f' || (conv_id % 10) AS file, conv_id * 100 + k AS line_no, line FROM (
-    SELECT qa_id AS conv_id, 0 AS k, 'id=' || qa_id AS line FROM {SETS} UNION ALL SELECT qa_id, 1, 'https://example.org/' || qa_id FROM {SETS}
-    UNION ALL SELECT qa_id, 2, 'Doctor faculty' FROM {SETS} UNION ALL SELECT qa_id, 3, coalesce(book_name, '') FROM {SETS} UNION ALL SELECT qa_id, 4, '' FROM {SETS}
-    UNION ALL SELECT qa_id, 5, 'Description' FROM {SETS} UNION ALL SELECT qa_id, 6, '- ' || replace(coalesce(content, ''), chr(10), ' ') FROM {SETS} UNION ALL SELECT qa_id, 7, 'Dialogue' FROM {SETS}
+    SELECT qa_id AS conv_id, 0 AS k, '{HEAD["urls"]}=' || qa_id AS line FROM {SETS} UNION ALL SELECT qa_id, 1, 'https://example.org/' || qa_id FROM {SETS}
+    UNION ALL SELECT qa_id, 2, '{HEAD["Doctor_faculty"]}' FROM {SETS} UNION ALL SELECT qa_id, 3, coalesce(book_name, '') FROM {SETS} UNION ALL SELECT qa_id, 4, '' FROM {SETS}
+    UNION ALL SELECT qa_id, 5, '{HEAD["Description"]}' FROM {SETS} UNION ALL SELECT qa_id, 6, '- ' || replace(coalesce(content, ''), chr(10), ' ') FROM {SETS} UNION ALL SELECT qa_id, 7, '{HEAD["Dialogue"]}' FROM {SETS}
     UNION ALL SELECT conv_id, 8 + turn, '> ' || replace(text, chr(10), ' ') FROM {TURNS}))"""
 
 
+#: The part that a line opens, null if it opens none.
+OPENS = "CASE " + " ".join(f"WHEN starts_with(line, '{prefix}') THEN '{name}'" for prefix, name in sections.HEADERS) + " END"
+
+
 def dialogue_lines(s: SparkSession, d: str) -> DataFrame:
     base = sets(s, d)
     flat = lambda c: F.replace(F.coalesce(c, F.lit("")), F.lit("\n"), F.lit(" "))
-    of = [F.concat(F.lit("id="), F.col("qa_id").cast("string")), F.concat(F.lit("https://example.org/"), F.col("qa_id").cast("string")), F.lit("Doctor faculty"), F.coalesce("book_name", F.lit("")), F.lit(""), F.lit("Description"), F.concat(F.lit("- "), flat(F.col("content"))), F.lit("Dialogue")]
+    of = [F.concat(F.lit(HEAD["urls"] + "="), F.col("qa_id").cast("string")), F.concat(F.lit("https://example.org/"), F.col("qa_id").cast("string")), F.lit(HEAD["Doctor_faculty"]), F.coalesce("book_name", F.lit("")), F.lit(""), F.lit(HEAD["Description"]), F.concat(F.lit("- "), flat(F.col("content"))), F.lit(HEAD["Dialogue"])]
     fixed = base.select(F.col("qa_id").alias("conv_id"), F.posexplode(F.array(*of)).alias("k", "line"))
     said = turns(s, d).select("conv_id", (F.col("turn") + 8).alias("k"), F.concat(F.lit("> "), flat(F.col("text"))).alias("line"))
     both = fixed.unionByName(said)
@@ -355,7 +364,7 @@ def dialogue_lines(s: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""WITH m AS (SELECT file, line_no, line, CASE WHEN starts_with(line, 'id') THEN 'urls' WHEN starts_with(line, 'Doctor faculty') THEN 'Doctor_faculty' WHEN starts_with(line, 'Description') THEN 'Description' WHEN starts_with(line, 'Dialogue') THEN 'Dialogue' END AS h
+    f"""WITH m AS (SELECT file, line_no, line, {OPENS} AS h
             FROM {LINES} WHERE length(line) > 0),
         r AS (SELECT *, sum(CASE WHEN h = 'urls' THEN 1 ELSE 0 END) OVER w AS record_no, last_value(h IGNORE NULLS) OVER w AS part FROM m WINDOW w AS (PARTITION BY file ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
        SELECT file, CAST(record_no AS INT) AS record_no, max(CASE WHEN h = 'urls' THEN list_last(string_split(line, '=')) END) AS id,
@@ -790,11 +799,21 @@ def metadata_filter(s: SparkSession, d: str) -> DataFrame:
     return vectors.where_metadata(listed, {"subject": "医学"}, {"keywords": "护理"}, "m").select("chunk_id").distinct()
 
 
-@query()
+#: Vectors of hashed character trigrams: 63 bits of code points times an odd number, of which the first bit gives the sign.
+EMBEDDED = f"""(SELECT id, list_transform(generate_series(0, 63), lambda k: CAST(list_sum(list_transform(list_filter(h, lambda x: (x >> 40) % 64 = k), lambda x: CASE WHEN x >> 63 = 1 THEN 1 ELSE -1 END)) AS DOUBLE)) AS v FROM (
+    SELECT id, list_transform(generate_series(1, greatest(length(t) - 2, 1)), lambda i: CAST(((CAST(unicode(substr(t, CAST(i AS INT), 1)) AS HUGEINT) * 4398046511104 + CAST(coalesce(nullif(unicode(substr(t, CAST(i + 1 AS INT), 1)), -1), 0) AS HUGEINT) * 2097152 + coalesce(nullif(unicode(substr(t, CAST(i + 2 AS INT), 1)), -1), 0)) * 11400714819323198485) % 18446744073709551616 AS UBIGINT)) AS h
+    FROM (SELECT q_ids[i] AS id, q[i] AS t FROM {SETS}, unnest(generate_series(1, len(q))) AS s(i)) WHERE length(t) > 0))"""
+
+
+@query(
+    f"""WITH e AS (SELECT id, list_transform(v, lambda x: coalesce(x, 0)) AS v FROM {EMBEDDED})
+       SELECT query_id, id, score, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM (
+        SELECT a.id AS query_id, b.id AS id, round(list_cosine_similarity(a.v, b.v), 6) AS score FROM e a JOIN e b ON a.id % 20 = 0 AND a.id <> b.id)) WHERE rank <= 3"""
+)
 def embedded_search(s: SparkSession, d: str) -> DataFrame:
     """Questions embedded by the stand-in model, and the three nearest of every twentieth."""
-    vectors_of = embed(sets(s, d).select(F.explode(F.arrays_zip("q_ids", "q")).alias("z")).select(F.col("z.q_ids").alias("id"), F.col("z.q").alias("text")), "text")
-    return vectors.nearest(vectors_of, "id", "vector", F.col("id") % 20 == 0, 64, 3)
+    asked = sets(s, d).select(F.explode(F.arrays_zip("q_ids", "q")).alias("z")).select(F.col("z.q_ids").alias("id"), F.col("z.q").alias("text"))
+    return vectors.nearest(embed(asked.where(F.length("text") > 0), "text"), "id", "vector", F.col("id") % 20 == 0, 64, 3)
 
 
 PAIRS = f"(SELECT qa_id, q[1] AS c, q[2] AS r FROM {SETS} WHERE len(q) >= 2 AND q[1] IS NOT NULL AND q[2] IS NOT NULL)"

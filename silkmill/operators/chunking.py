@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -9,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed value: how texts are cut into words before byte pairs are merged.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Separators of the recursive splitter, strongest first, for Chinese and for Latin text.
 SEPARATORS = ("。\n", "\n\n", "。", "\n", " ", "")
 LATIN_SEPARATORS = (".\n", "\n\n", ". ", "\n", " ", "")
@@ -63,17 +66,19 @@ def split_recursive(text: str, size: int, overlap: int, separators: Sequence[str
     return out
 
 
-def recursive_chunks(df: DataFrame, keys: list[str], text: str, size: int, overlap: int, separators: Sequence[str] = SEPARATORS, above: int | None = None) -> DataFrame:
+def recursive_chunks(df: DataFrame, keys: list[str], text: str, size: int, overlap: int, separators: Sequence[str] = SEPARATORS, above: int | None = None, measure: Callable[[], Callable[[str], int]] | None = None) -> DataFrame:
     """(keys, chunk_no, chunk) by ``split_recursive``, in Arrow batches; keys keep their types. Texts of at most ``above``
-    characters stay whole, if it is given; null and empty texts give no chunk."""
+    characters stay whole, if it is given; null and empty texts give no chunk. ``measure`` makes, once per Python worker,
+    what the lengths of texts are taken with, such as a tokenizer's count; without it they are characters."""
     schema = T.StructType([*df.select(*keys).schema.fields, T.StructField("chunk_no", T.IntegerType()), T.StructField("chunk", T.StringType())])
     seps = tuple(separators)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        length = measure() if measure else len
         for batch in batches:
             rows, numbers, chunks = [], [], []
             for i, t in enumerate(batch.column(len(keys)).to_pylist()):
-                found = [t] if t and above is not None and len(t) <= above else split_recursive(t or "", size, overlap, seps)
+                found = [t] if t and above is not None and len(t) <= above else split_recursive(t or "", size, overlap, seps, length)
                 rows += [i] * len(found)
                 numbers += range(len(found))
                 chunks += found
@@ -83,6 +88,33 @@ def recursive_chunks(df: DataFrame, keys: list[str], text: str, size: int, overl
     return df.select(*keys, text).mapInArrow(run, schema)
 
 
+def encode(df: DataFrame, text: str, make: Callable[[], Callable[[str], list[int]]], name: str = "ids") -> DataFrame:
+    """``df`` with the token ids of a text, by the tokenizer that ``make`` loads once per Python worker; null for null."""
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))])
+    at = df.columns.index(text)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenize = make()
+        for batch in batches:
+            ids = [None if t is None else tokenize(t) for t in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*batch.schema.names, name])
+
+    return df.mapInArrow(run, schema)
+
+
+def vocabulary_tokenizer(path: str, pattern: str = WORD_PATTERN) -> Callable[[], Callable[[str], list[int]]]:
+    """A maker for ``encode``: a public byte-pair vocabulary file, each line a token in base 64 and its rank."""
+
+    def make() -> Callable[[str], list[int]]:
+        import tiktoken
+
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    return make
+
+
 def merge_sentences(text: Column, most: int = 300, compat: bool = False) -> Column:
     """Sentences (parted at 。, which is dropped) merged until they exceed ``most``.
 

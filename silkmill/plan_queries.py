@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silkmill.catalog import BLOCK, CHUNKS, LINES, NODES, PARAS, ROLE, SEQUENCES, SETS, TURNS, _edges, _nodes, _pairs, _sections_sql, _sequences, _sql_clean, chunks, dialogue_lines, paras, query, sets, turns
+from silkmill.catalog import CHUNKS, LINES, OPENS, PARAS, SEQUENCES, SETS, TURNS, _edges, _nodes, _pairs, _sections_sql, _sequences, _sql_clean, chunks, dialogue_lines, paras, query, sets, turns
 from silkmill.functions import text as X
 from silkmill.operators import chunking, graph, layout, metrics, qa, sampling, triage
 from silkmill.plans import model, pipelines
@@ -307,7 +307,7 @@ def function_dataset(s: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""WITH m AS (SELECT file, line_no, line, CASE WHEN starts_with(line, 'id') THEN 'urls' WHEN starts_with(line, 'Doctor faculty') THEN 'x' WHEN starts_with(line, 'Description') THEN 'Description' WHEN starts_with(line, 'Dialogue') THEN 'x' END AS h FROM {LINES} WHERE length(line) > 0),
+    f"""WITH m AS (SELECT file, line_no, line, {OPENS} AS h FROM {LINES} WHERE length(line) > 0),
         r AS (SELECT *, sum(CASE WHEN h = 'urls' THEN 1 ELSE 0 END) OVER w AS record_no, last_value(h IGNORE NULLS) OVER w AS part FROM m WINDOW w AS (PARTITION BY file ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
         g AS (SELECT file, CAST(record_no AS INT) AS record_no, max(CASE WHEN h = 'urls' THEN list_last(string_split(line, '=')) END) AS id, coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (h IS NULL AND part = 'Description'), '') AS t FROM r GROUP BY file, record_no)
        SELECT file, record_no, id, {_sections_sql()} FROM g"""
@@ -333,6 +333,29 @@ def entry_pipeline(s: SparkSession, d: str) -> DataFrame:
     return packed.select("shard", "bin_no", "conv_id", "window_no", "n", ids("input_ids"), ids("labels"))
 
 
+WEIGHTS = {"0": 0.5, "1": 0.3, "2": 0.2}
+NEED = "(SELECT * FROM (VALUES (0, 60), (1, 36), (2, 24)) AS v(source, need))"
+
+
+@query(
+    f"""WITH RECURSIVE d AS (SELECT *, conv_id % 3 AS source FROM {SEQUENCES}),
+        r AS (SELECT d.*, need, row_number() OVER (PARTITION BY d.source ORDER BY md5('21:' || conv_id), conv_id) AS rank, count(*) OVER (PARTITION BY d.source) AS size FROM d JOIN {NEED} v ON v.source = d.source),
+        x AS (SELECT *, row_number() OVER (ORDER BY md5('22:' || conv_id || ':' || CAST(k AS INT)), conv_id, k) AS draw_no FROM r, unnest(generate_series(0, (need - rank) // size)) AS t(k) WHERE need >= rank),
+        w AS (SELECT (draw_no - 1) // 30 AS shard, draw_no, conv_id, CAST(j AS INT) AS window_no, CASE WHEN n > 256 THEN input_ids[j * 192 + 1 : j * 192 + 256] ELSE input_ids END AS i, CASE WHEN n > 256 THEN labels[j * 192 + 1 : j * 192 + 256] ELSE labels END AS l, n > 256 AS cut
+            FROM (SELECT *, len(input_ids) AS n FROM x), unnest(generate_series(0, CASE WHEN n > 256 THEN (n - 1) // 192 ELSE 0 END)) AS t(j)),
+        p AS (SELECT *, len(i) AS n, row_number() OVER (PARTITION BY shard ORDER BY draw_no, window_no) AS rn FROM w WHERE NOT cut OR (len(l) >= 12 AND len(list_filter(l[2:], lambda x: x >= 0)) > 0)),
+        f AS (SELECT shard, rn, n AS held, 0 AS bin_no FROM p WHERE rn = 1
+            UNION ALL SELECT p.shard, p.rn, CASE WHEN held + p.n > 256 THEN p.n ELSE held + p.n END, CASE WHEN held + p.n > 256 THEN bin_no + 1 ELSE bin_no END FROM f JOIN p ON p.shard = f.shard AND p.rn = f.rn + 1)
+       SELECT p.shard, bin_no, CAST(draw_no AS INT) AS draw_no, CAST(conv_id AS VARCHAR) AS conv_id, window_no, CAST(n AS INT) AS n, array_to_string(l, ',') AS labels FROM p JOIN f ON p.shard = f.shard AND p.rn = f.rn"""
+)
+def mixed_windows(s: SparkSession, d: str) -> DataFrame:
+    """Training windows of dialogues drawn from three sources by weight, in a seeded order."""
+    said = turns(s, d).withColumn("source", (F.col("conv_id") % 3).cast("string"))
+    packed = pipelines.mixed_windows(said, "conv_id", "turn", "source", WEIGHTS, 120, 21, F.lit("Be brief."), 4, 256, 192)
+    name = F.split(F.col("dialogue"), "[:#]")
+    return packed.select("shard", "bin_no", name[0].cast("int").alias("draw_no"), name[1].alias("conv_id"), "window_no", "n", F.array_join(F.transform("labels", lambda x: x.cast("string")), ",").alias("labels"))
+
+
 # ---------------------------------------------------------------------------------------------- metrics
 
 

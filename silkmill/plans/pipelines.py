@@ -13,7 +13,7 @@ from silkmill.operators.dialog import continuation, cut_windows, keep_last, mask
 from silkmill.operators.layout import page_lines, reading_order
 from silkmill.operators.metrics import bleu
 from silkmill.operators.qa import accepted, asks_plainly, fan_out, is_answer, refined, union_all
-from silkmill.operators.sampling import example_prompt, sample_per_group
+from silkmill.operators.sampling import example_prompt, interleave, sample_per_group
 from silkmill.operators.sections import coalesce_shorts, dialogue_records, fill_titles, stop_at_marker
 from silkmill.operators.tool_calls import calls_are_valid
 from silkmill.operators.triage import not_done, routing_table, unclassified
@@ -200,6 +200,16 @@ def training_windows(turns: DataFrame, conv: str, turn: str, instruction: Column
     return next_fit(windows, "shard", [conv, "window_no"], "n", most)
 
 
+def mixed_windows(turns: DataFrame, conv: str, turn: str, source: str, weights: dict[str, float], dialogues: int, seed: int, instruction: Column, shards: int, most: int, step: int) -> DataFrame:
+    """``training_windows`` of ``dialogues`` dialogues drawn from sources by weight, in a seeded order: a dialogue drawn again
+    is one of its own, and shards follow the order of drawing."""
+    drawn = interleave(turns.groupBy(conv).agg(F.min(source).alias("_source")), "_source", conv, weights, dialogues, seed)
+    name = F.concat_ws("#", F.col(conv).cast("string"), F.col("repeat_no").cast("string"))
+    shuffled = turns.join(drawn.select(conv, "repeat_no", "draw_no"), conv).withColumn("_name", F.concat_ws(":", F.lpad(F.col("draw_no").cast("string"), 10, "0"), name))
+    shard = F.floor((F.substring("_name", 1, 10).cast("int") - 1) / F.lit(max(1, -(-dialogues // shards))))
+    return training_windows(shuffled, "_name", turn, instruction, shard, most, step).withColumnRenamed("_name", "dialogue")
+
+
 def library_triage(files: DataFrame, path: str, placed: DataFrame, placed_path: str, template: str, kinds: list[str], default: str = "其他", make: Callable[[], ModelClient] = StubModel) -> DataFrame:
     """``files`` with filename, bucket, action and department: files placed already are left out, and only books that stay
     are shown to the model; what it names outside ``kinds`` counts as ``default``."""

@@ -1,5 +1,6 @@
 """Core operators on hand-written rows, the odd behaviours in both modes, and repartition invariance."""
 
+import base64
 import json
 import zipfile
 import zlib
@@ -103,6 +104,16 @@ def test_merges_and_packing(spark):
     assert [tuple(r["window"]) for r in w.orderBy("start").collect()] == [(1, 2, 3), (3, 4, 5), (5,)]
 
 
+def test_tokenizers(spark, tmp_path):
+    (tmp_path / "small.tiktoken").write_bytes(b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate([*(bytes([k]) for k in range(256)), b"ab", b"abab"])))
+    df = spark.createDataFrame([(1, "abab ab"), (2, None), (3, "")], "k int, t string")
+    make = chunking.vocabulary_tokenizer(str(tmp_path / "small.tiktoken"))
+    assert [r["ids"] for r in chunking.encode(df, "t", make).orderBy("k").collect()] == [[257, 32, 256], None, []]
+    words = spark.createDataFrame([(1, "a b c d e。f g")], "k int, t string")
+    pieces = chunking.recursive_chunks(words, ["k"], "t", 3, 1, measure=lambda: lambda t: len(t.split())).collect()
+    assert all(len(r["chunk"].split()) <= 3 for r in pieces) and pieces[0]["chunk"] == "a b c "
+
+
 def test_dialogues(spark):
     turns = F.array(*[F.struct(dialog.role(F.lit(s)).alias("role"), F.array(F.lit(1), F.lit(3)).alias("ids"), F.lit(s).alias("speaker")) for s in ("A from User", "B to User", "nobody")])
     seq = spark.range(1).select(dialog.masked_sequence(F.array(F.lit(9)), turns, F.lit(2)).alias("s")).first()["s"]
