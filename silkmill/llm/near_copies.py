@@ -40,7 +40,7 @@ WORDS = BITS // 64
 #: Texts in one tree, at most; larger groups are compared block by block.
 GROUP = 4096
 #: Texts routed together, signatures traversed together and pairs of leaf nodes compared together.
-ROUTED, HELD, COMPARED = 20_000, 100_000, 16_384
+ROUTED, HELD, COMPARED = 20_000, 100_000, 2048
 
 #: A text in a tree. ``pos``: the place of the tree's sequence in the text's order, its complement beyond the smaller set's part.
 SIGNATURE = np.dtype([("rep", "<i8"), ("size", "<i4"), ("pos", "<i4"), ("bits", "<u8", WORDS)])
@@ -168,9 +168,9 @@ class Forest:
         self.side = np.zeros(len(self.texts), np.int64)
         self.side[place] = np.where(apart[group], side, -1 - np.arange(len(texts)))[order]
         shape = (-1, FAN)
-        self.size = self.texts["size"].astype(np.int64).reshape(shape)
+        self.size = self.texts["size"].astype(np.int32).reshape(shape)
         self.words = [np.ascontiguousarray(self.texts["bits"][:, w]).reshape(shape) for w in range(WORDS)]
-        self.excess = self.size - sum(np.bitwise_count(w).astype(np.int64) for w in self.words)
+        self.excess = self.size - sum(np.bitwise_count(w).astype(np.int32) for w in self.words)
         bits = np.stack([np.bitwise_or.reduce(w, axis=1) for w in self.words], axis=1)
         low = np.where(self.size > 0, self.size, 1 << 40).min(axis=1)
         self.levels = [(bits, low, self.size.max(axis=1), self.excess.max(axis=1))]
