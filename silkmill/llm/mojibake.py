@@ -139,7 +139,8 @@ def _multi_in_single(codec: str, readers: dict[str, Callable]) -> list[Chain]:
     high = _high_half(codec)
     to_byte = {c: 0x80 + i for i, c in enumerate(high)} | {chr(b): b for b in range(0x30, 0x7F)}
     lead, upper = _char_class(high[1:-1]), _char_class(high[:-1])
-    runs = re.compile(f"{lead}{upper}(?:{lead}(?:{upper}|[@-~](?={lead})|[0-9]{lead}[0-9]))*")
+    four = f"{lead}[0-9]{lead}[0-9]"  # a character outside GBK, which may stand alone
+    runs = re.compile(f"(?:{lead}{upper}|{four})(?:{lead}(?:{upper}|[@-~](?={lead}))|{four})*")
     find = lambda text, _: [[(*m.span(), bytes([to_byte[c] for c in m.group()]))] for m in runs.finditer(text)]
     family = Family(find, frozenset(high[1:-1]))
     return [Chain(codec, true, family, readers[_WIDER.get(true, true)]) for true in MULTI_TRUE]

@@ -93,6 +93,9 @@ def test_garbled_twice_in_part_and_lost(restorer):
     assert restorer.restore(twice)[0] == LATIN[0]
     part = ZH[0][:10] + garble(ZH[1], "latin_1>utf-8")
     assert restorer.restore(part)[0] == ZH[0][:10] + ZH[1]
+    high = [bytes([b]).decode("cp1252") if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(b) for b in range(256)]
+    alone = ZH[0] + "29kg/m²者，évoque."  # characters of four bytes among ASCII
+    assert restorer.restore("".join(high[b] for b in alone.encode("gb18030")))[0] == alone
     for lost in ("the patient�s cough", "骨质疏松锟斤拷锟斤拷", "isnï¿½t"):
         assert restorer.restore(lost)[1].endswith("lost")
     for fine in [*ZH, *LATIN, "ATENÇÃO: NÃO", "（俄文原名：Болезнь）", "nоt сlear", "１２３", "a b", "Öffnung façade"]:
