@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,3 +133,24 @@ def accurate(first: Column, first_score: Column, second: Column, second_score: C
 def page_lines(lines: DataFrame, page: str, separator: str = "") -> DataFrame:
     """(page, text): recognised lines of a page joined in order."""
     return lines.groupBy(page).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda s: s["text"]), separator).alias("text"))
+
+
+def crop(pixels: Column, width: Column, height: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """The rows ``y1`` to ``y2`` and columns ``x1`` to ``x2`` (ends left out) of an image's bytes, as many a pixel as it has.
+
+    A box is cut at the image's sides; nothing is left of an empty one. Null where anything is null.
+    """
+
+    @F.pandas_udf("binary")
+    def cut_out(p: pd.Series, w: pd.Series, h: pd.Series, a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
+        out = []
+        for row in zip(p, w, h, a, b, c, d, strict=True):
+            if any(v is None or v != v for v in row[1:]) or row[0] is None or not row[1] * row[2]:
+                out.append(None)
+                continue
+            raw, (wide, high, left, top, right, bottom) = row[0], (int(v) for v in row[1:])
+            image = np.frombuffer(raw, np.uint8).reshape(high, wide, -1)
+            out.append(image[max(0, top) : max(0, bottom), max(0, left) : max(0, right)].tobytes())
+        return pd.Series(out, dtype="object")
+
+    return cut_out(pixels, width, height, x1, y1, x2, y2)

@@ -251,6 +251,12 @@ def recognised_texts(s: SparkSession, d: str) -> DataFrame:
     return pipelines.recognised_texts(lines, "page", "clean {text}")
 
 
+@query("SELECT doc_id, CAST(i - 1 AS INT) AS seq, l[i] AS text, CAST(1 AS DOUBLE) AS score FROM (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: x <> '') AS l FROM documents WHERE text IS NOT NULL), unnest(generate_series(1, len(l))) AS t(i)")
+def recognised_lines(s: SparkSession, d: str) -> DataFrame:
+    """Lines that the stand-in recogniser reads in images, which are texts here."""
+    return model.recognise(read_table(s, d, "documents").select("doc_id", F.encode("text", "UTF-8").alias("image")), "image")
+
+
 @query(f"SELECT qa_id, CASE WHEN coalesce(len(q), 0) = 0 THEN coalesce(book_name, '') ELSE {stub(chr(39) + 'name ' + chr(39) + ' || array_to_string(q, ' + chr(39) + ',' + chr(39) + ')')} END AS answer FROM {SETS}")
 def model_nodes(s: SparkSession, d: str) -> DataFrame:
     """A node named by the model from its labels; one without labels keeps its condition, and no model is asked."""

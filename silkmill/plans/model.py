@@ -270,3 +270,34 @@ def embed(df: DataFrame, text: str, make: Callable[[], object] = HashEmbedder) -
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "vector"])
 
     return df.mapInArrow(run, schema)
+
+
+class StubRecogniser:
+    """Reads an image's bytes as lines of text, each with the score 1; bytes that are no text have none."""
+
+    def lines(self, images: list[bytes]) -> list[list[tuple[str, float]]]:
+        out = []
+        for raw in images:
+            try:
+                out.append([(t, 1.0) for t in raw.decode("utf-8").split("\n") if t])
+            except UnicodeDecodeError:
+                out.append([])
+        return out
+
+
+def recognise(df: DataFrame, image: str, make: Callable[[], object] = StubRecogniser, size: int = 8) -> DataFrame:
+    """``df`` without the image, a row per recognised line: seq (from 0), text and score. One recogniser per Python worker,
+    ``size`` images at a time; images without a line, and null ones, have no row."""
+    kept = [f for f in df.schema.fields if f.name != image]
+    schema = T.StructType([*kept, T.StructField("seq", T.IntegerType()), T.StructField("text", T.StringType()), T.StructField("score", T.DoubleType())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        client = make()
+        for batch in batches:
+            raw = batch.column(batch.num_columns - 1).to_pylist()
+            there = [i for i, r in enumerate(raw) if r is not None]
+            found = [(i, k, *line) for a in range(0, len(there), size) for i, lines in zip(there[a : a + size], client.lines([raw[j] for j in there[a : a + size]]), strict=True) for k, line in enumerate(lines)]
+            at = pa.array([f[0] for f in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in range(len(kept))), pa.array([f[1] for f in found], pa.int32()), pa.array([f[2] for f in found], pa.string()), pa.array([f[3] for f in found], pa.float64())], names=schema.names)
+
+    return df.select(*[f.name for f in kept], image).mapInArrow(run, schema)

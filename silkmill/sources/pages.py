@@ -13,6 +13,7 @@ import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +77,7 @@ class _Pdf:
             if b"/ObjStm" in body:
                 self._unpack(body)
         self.trailer = raw[raw.rfind(b"trailer") :] if b"trailer" in raw else b"".join(b for b in self.objects.values() if b"/XRef" in b)
+        self.root = self.value(self.trailer, b"Root") or next((b for b in self.objects.values() if b"/Catalog" in b), b"")
 
     def stream(self, body: bytes) -> bytes:
         m = _STREAM.search(body)
@@ -197,8 +199,7 @@ class _Pdf:
 
 def pdf_pages(raw: bytes) -> Book:
     pdf = _Pdf(raw)
-    root = pdf.value(pdf.trailer, b"Root") or next((b for b in pdf.objects.values() if b"/Catalog" in b), b"")
-    pages = [pdf.page_text(page, resources) for page, resources in pdf.pages(pdf.value(root, b"Pages"))]
+    pages = [pdf.page_text(page, resources) for page, resources in pdf.pages(pdf.value(pdf.root, b"Pages"))]
     info = pdf.value(pdf.trailer, b"Info")
     about = {}
     for name in FIELDS:
@@ -209,6 +210,48 @@ def pdf_pages(raw: bytes) -> Book:
     return Book(pages, about)
 
 
+@dataclass
+class Image:
+    """``kind``: "jpeg" or "jp2" with the file's bytes as they are, else "gray" or "rgb" with eight bits a value, row by row."""
+
+    page_number: int
+    width: int
+    height: int
+    kind: str
+    data: bytes
+
+
+def cmyk_to_rgb(raw: bytes) -> bytes:
+    """Pixels of four inks as red, green and blue."""
+    inks = np.frombuffer(raw, np.uint8).reshape(-1, 4).astype(np.uint16)
+    return ((255 - inks[:, :3]) * (255 - inks[:, 3:]) // 255).astype(np.uint8).tobytes()
+
+
+def pdf_images(raw: bytes) -> list[Image]:
+    """The images embedded in a PDF file, by page and in the order of its resources; one used on two pages is there twice.
+    Pixels that are neither gray, RGB nor CMYK with eight bits, and packed in other ways than by deflation, are left out."""
+    pdf = _Pdf(raw)
+    out = []
+    for number, (_, resources) in enumerate(pdf.pages(pdf.value(pdf.root, b"Pages")), start=1):
+        listed = pdf.value(resources, b"XObject")
+        listed = listed[: listed.find(b">>")] if b">>" in listed else listed
+        for reference in _REFERENCE.findall(listed):
+            body = pdf.objects.get(int(reference), b"")
+            head = body[: body.find(b"stream")]
+            if not re.search(rb"/Subtype\s*/Image", head):
+                continue
+            width, height = (int(m.group(1)) if (m := re.search(rb"/" + side + rb"\s+(\d+)", head)) else 0 for side in (b"Width", b"Height"))
+            data, kind = pdf.stream(body), "jpeg" if b"/DCTDecode" in head else "jp2" if b"/JPXDecode" in head else ""
+            if not kind:
+                channels = len(data) // max(width * height, 1)
+                if channels == 4:
+                    data, channels = cmyk_to_rgb(data[: width * height * 4]), 3
+                kind = {1: "gray", 3: "rgb"}.get(channels, "") if len(data) == width * height * channels else ""
+            if kind:
+                out.append(Image(number, width, height, kind, data))
+    return out
+
+
 # ---------------------------------------------------------------------------------------------- reading
 
 PARSERS: dict[str, Parser] = {"txt": form_feed_pages, "pdf": pdf_pages}
@@ -242,3 +285,23 @@ def read_pages(spark: SparkSession, folder: str, glob: str | None = None, parser
         reader = reader.option("pathGlobFilter", glob)
     ending = F.lower(F.substring_index(base_name(F.col("path")), ".", -1))
     return reader.load(folder).where(ending.isin(*parsers)).select("path", "content").mapInArrow(_pages(parsers), SCHEMA)
+
+
+def read_images(spark: SparkSession, folder: str, glob: str = "*.pdf") -> DataFrame:
+    """(file, image_no, page_number, width, height, kind, data): the images embedded in PDF files; files that can't be read
+    have none, see ``read_pages`` for their errors."""
+    names = ["file", "image_no", "page_number", "width", "height", "kind", "data"]
+    kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.binary()]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                try:
+                    images = pdf_images(raw.as_py())
+                except Exception:  # noqa: BLE001
+                    images = []
+                rows = [(path, i, x.page_number, x.width, x.height, x.kind, x.data) for i, x in enumerate(images)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(len(kinds))], names=names)
+
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    return reader.load(folder).select("path", "content").mapInArrow(run, "file string, image_no int, page_number int, width int, height int, kind string, data binary")

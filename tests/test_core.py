@@ -144,6 +144,13 @@ def test_layout(spark):
     assert layout.large_figures(figs, F.lit(51)).count() == 1 and layout.large_figures(figs, F.lit(50)).count() == 0
 
 
+def test_crop(spark):
+    rows = [(bytes(range(12)), 3, 2, 1, 0, 9, 1), (bytes(range(6)), 3, 2, 1, 1, 3, 2), (bytes(range(6)), 3, 2, 2, 0, 1, 2), (None, 3, 2, 0, 0, 1, 1), (b"", 0, 0, 0, 0, 1, 1), (bytes(range(6)), 3, 2, 0, 0, None, 1)]
+    df = spark.createDataFrame(rows, "p binary, w int, h int, a int, b int, c int, d int")
+    got = [None if r[0] is None else bytes(r[0]) for r in df.select(layout.crop(*[F.col(c) for c in df.columns])).collect()]
+    assert got == [bytes([2, 3, 4, 5]), bytes([4, 5]), b"", None, None, None]
+
+
 def test_page_spans(spark):
     span, line = "struct<x0: double, x1: double, text: string>", "struct<y0: double, y1: double, spans: array<{}>>"
     schema = f"page int, blocks array<struct<lines: array<{line.format(span)}>>>"
@@ -275,6 +282,11 @@ def test_model_boundary(spark):
     assert sorted((r["k"], r["answer"] == "unasked") for r in nodes.collect()) == [(1, True), (2, False), (3, True)]
 
 
+def test_recognise(spark):
+    df = spark.createDataFrame([(1, "a\n\nb".encode()), (2, None), (3, b""), (4, b"\xff")], "k int, image binary")
+    assert sorted(tuple(r) for r in model.recognise(df, "image", size=2).collect()) == [(1, 0, "a", 1.0), (1, 1, "b", 1.0)]
+
+
 def test_http_model():
     from http.server import BaseHTTPRequestHandler, HTTPServer
     from threading import Thread
@@ -307,13 +319,17 @@ def _pdf() -> bytes:
         b"<< /Type /Catalog /Pages 2 0 R >>",
         b"<< /Type /Pages /Kids [3 0 R 4 0 R] /Count 2 /Resources << /Font << /F1 7 0 R /F2 8 0 R >> >> >>",
         b"<< /Type /Page /Parent 2 0 R /Contents 5 0 R >>",
-        b"<< /Type /Page /Parent 2 0 R /Contents [6 0 R] >>",
+        b"<< /Type /Page /Parent 2 0 R /Contents [6 0 R] /Resources << /Font << /F2 8 0 R >> /XObject << /A 11 0 R /B 12 0 R /C 13 0 R /D 14 0 R /F 7 0 R >> >> >>",
         b"<< /Length %d >>\nstream\n%s\nendstream" % (len(drawn), drawn),
         b"<< /Length %d /Filter /FlateDecode >>\nstream\n%s\nendstream" % (len(wide), wide),
         b"<< /Type /Font /Subtype /Type1 /BaseFont /Helvetica >>",
         b"<< /Type /Font /Subtype /Type0 /ToUnicode 9 0 R >>",
         b"<< /Length %d >>\nstream\n%s\nendstream" % (len(cmap), cmap),
         b"<< /Title (A title) /Author <FEFF62A4> >>",
+        b"<< /Subtype /Image /Width 2 /Height 1 /Filter /DCTDecode >>\nstream\nJPEG\nendstream",
+        b"<< /Subtype /Image /Width 2 /Height 1 /ColorSpace /DeviceCMYK /Filter /FlateDecode >>\nstream\n%s\nendstream" % zlib.compress(bytes([0, 0, 0, 0, 255, 0, 0, 51])),
+        b"<< /Subtype /Image /Width 2 /Height 2 /Filter /FlateDecode >>\nstream\n%s\nendstream" % zlib.compress(bytes([1, 2, 3, 4])),
+        b"<< /Subtype /Image /Width 2 /Height 2 >>\nstream\nxyz\nendstream",
     ]
     return b"%PDF-1.4\n" + b"\n".join(b"%d 0 obj\n%s\nendobj" % (i + 1, o) for i, o in enumerate(objects)) + b"\ntrailer << /Root 1 0 R /Info 10 0 R >>"
 
@@ -355,6 +371,8 @@ def test_sources(spark, tmp_path):
     first = got[("b.pdf", 1)]
     assert first["text"].split("\n")[:2] == ["Hello (World)", "next line"] and got[("b.pdf", 2)]["text"].strip() == "护理A"
     assert (first["title"], first["author"], first["keywords"]) == ("A title", "护", None) and "encrypted" in got[("broken.pdf", None)]["error"]
+    images = [(r["page_number"], r["image_no"], r["kind"], bytes(r["data"])) for r in pages.read_images(spark, str(tmp_path)).orderBy("image_no").collect()]
+    assert images == [(2, 0, "jpeg", b"JPEG"), (2, 1, "rgb", bytes([255, 255, 255, 0, 204, 204])), (2, 2, "gray", bytes([1, 2, 3, 4]))]
     assert pages.read_pages(spark, str(tmp_path), "*.txt", {"txt": lambda raw: pages.Book([raw.decode()])}).count() == 1
     listed = {(r["filename"], r["dirs"]) for r in triage.file_listing(spark, str(tmp_path)).collect()}
     assert ("a.txt", "x") in listed and ("a.json", "") in listed
